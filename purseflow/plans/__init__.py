@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["aggregates", "relations"]
+MODULES = ["aggregates", "relations", "quality", "warehouse"]
 
 for _name in MODULES:
     importlib.import_module(f"{__name__}.{_name}")

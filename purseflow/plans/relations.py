@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
@@ -137,10 +137,11 @@ ENRICHED_SQL = with_(t.TXN, t.USERS, t.RAW, t.RAW_USERS, body=f"""SELECT ordinal
 @report("enrich_users", ENRICHED_SQL)
 def enrich_users(spark: SparkSession, folder: str) -> DataFrame:
     """Every raw row gets its user's attributes; blank and unknown users get a default."""
-    known = t.raw_users(spark, folder)
+    known = t.raw_users(spark, folder).select("user_id", "city", "kyc_status", "source_key")
     # the last row of a repeated user wins; a written table keeps skew splitting possible
     dim = stage(
-        joins.unique_last(known.select("user_id", "city", "kyc_status"), "user_id", F.col("city")), "users"
+        joins.unique_last(known, "user_id", F.col("source_key")).select("user_id", "city", "kyc_status"),
+        "users",
     )
     rows = t.raw(spark, folder).select("ordinal", "user_id", "category", "status")
     return joins.lookup(rows, dim, "user_id", {"city": t.UNKNOWN, "kyc_status": t.UNKNOWN})
@@ -233,16 +234,21 @@ USER_AVG = """user_avg AS (
   SELECT user_id, SUM(amount) AS user_total, COUNT(*) AS user_n FROM txn GROUP BY user_id)"""
 
 
+# amount / (user_total / user_n), rounded half up to two decimals in whole numbers
+RATIO_TO_MEAN = """CAST((2 * CAST(amount * user_n * 10000 AS HUGEINT) + CAST(user_total * 100 AS HUGEINT))
+    // (2 * CAST(user_total * 100 AS HUGEINT)) AS DOUBLE) / 100"""
+
+
+def ratio_to_mean(n: Column) -> Column:
+    return fn.dbl(F.round(F.col(amount) * n / F.col("user_total").cast("decimal(24,2)"), 2))
+
+
 @report(
     "fraud_3x_user_avg",
     with_(t.TXN, USER_AVG, body=f"""SELECT txn_id, user_id, {dbl('amount')} AS amount,
-    {avg2('user_total', 'user_n')} AS user_avg, {avg2('amount * user_n', 'user_total')} AS ratio,
-    'FRAUD_ALERT' AS flag FROM txn JOIN user_avg USING (user_id)
-    WHERE amount * user_n > {AVG_FACTOR} * user_total""").replace(
-        avg2("amount * user_n", "user_total"),
-        "CAST((2 * CAST(amount * user_n * 10000 AS HUGEINT) + CAST(user_total * 100 AS HUGEINT)) "
-        "// (2 * CAST(user_total * 100 AS HUGEINT)) AS DOUBLE) / 100",
-    ),
+    {avg2('user_total', 'user_n')} AS user_avg,
+    {RATIO_TO_MEAN} AS ratio, 'FRAUD_ALERT' AS flag FROM txn JOIN user_avg USING (user_id)
+    WHERE amount * user_n > {AVG_FACTOR} * user_total"""),
 )
 def fraud_3x_user_avg(spark: SparkSession, folder: str) -> DataFrame:
     n = F.col("user_n").cast("decimal(10,0)")
@@ -254,7 +260,7 @@ def fraud_3x_user_avg(spark: SparkSession, folder: str) -> DataFrame:
             "user_id",
             fn.dbl(F.col(amount)).alias(amount),
             fn.ratio(F.col("user_total"), F.col("user_n")).alias("user_avg"),
-            fn.dbl(F.round(F.col(amount) * n / F.col("user_total").cast("decimal(24,2)"), 2)).alias("ratio"),
+            ratio_to_mean(n).alias("ratio"),
             F.lit("FRAUD_ALERT").alias("flag"),
         )
     )

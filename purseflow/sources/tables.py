@@ -239,4 +239,10 @@ RAW_USERS = """raw_users AS (
 
 def raw_users(spark: SparkSession, folder: str) -> DataFrame:
     """Users keyed by their text code, as the raw rows refer to them."""
-    return users(spark, folder).withColumn("user_id", fn.user_code(F.col("user_id")))
+    return users(spark, folder).select(
+        fn.user_code(F.col("user_id")).alias("user_id"),
+        "city",
+        "kyc_status",
+        "city_tier",
+        F.col("user_id").alias("source_key"),
+    )
