@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["aggregates", "relations", "quality", "warehouse"]
+MODULES = ["aggregates", "relations", "quality", "warehouse", "batch", "streams"]
 
 for _name in MODULES:
     importlib.import_module(f"{__name__}.{_name}")
