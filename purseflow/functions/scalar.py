@@ -130,9 +130,15 @@ def bucket(key: Column, buckets: int) -> Column:
     return (stable_hash(key) % buckets).cast("int")
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """At least ``width`` digits; longer numbers keep all of theirs."""
+    digits = number.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+
+
 def txn_code(number: Column) -> Column:
-    return F.format_string("TXN%08d", number)
+    return F.concat(F.lit("TXN"), zero_padded(number, 8))
 
 
 def user_code(number: Column) -> Column:
-    return F.format_string("U%04d", number)
+    return F.concat(F.lit("U"), zero_padded(number, 4))

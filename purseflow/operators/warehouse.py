@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
@@ -26,9 +26,13 @@ def dim_user(users: DataFrame) -> DataFrame:
 
 
 def named_dim(raw: DataFrame, column: str, mapping: dict[str, str], attribute: str, sk: str) -> DataFrame:
-    """A small dimension: the names in use that the mapping knows, with their attribute."""
+    """A small dimension: the names in use that the mapping knows, with their attribute.
+
+    It has at most as many rows as the fixed mapping, so one window can number them.
+    """
     names = raw.select(column).distinct().withColumn(attribute, t.mapped(F.col(column), mapping))
-    return surrogate(names.where(F.col(attribute).isNotNull()), column, sk)
+    number = F.row_number().over(Window.orderBy(column)).cast("bigint")
+    return names.where(F.col(attribute).isNotNull()).withColumn(sk, number)
 
 
 def dim_merchant(raw: DataFrame) -> DataFrame:
@@ -64,7 +68,7 @@ def dim_date(facts: DataFrame, day: str) -> DataFrame:
 
 
 def facts(raw: DataFrame, users: DataFrame) -> DataFrame:
-    """Facts with foreign keys; an unknown natural key gives NULL.
+    """Facts with foreign keys; an unknown natural key gives NULL. ``raw`` may bring ``txn_sk``.
 
     The name dimensions are bounded by their fixed mappings and are broadcast. Users
     grow with the business, so their join is left to Spark: broadcast when small,
@@ -77,7 +81,7 @@ def facts(raw: DataFrame, users: DataFrame) -> DataFrame:
         out = out.join(F.broadcast(dim.select(key, sk)), key, "left")
     status = F.col("status")
     return out.select(
-        "ordinal",
+        *[c for c in ("txn_sk",) if c in raw.columns],
         "txn_id",
         "user_sk",
         "merchant_sk",
@@ -89,12 +93,3 @@ def facts(raw: DataFrame, users: DataFrame) -> DataFrame:
         fn.is_success(status).alias("is_success"),
         F.hour(F.try_to_timestamp("timestamp", F.lit(fn.STAMP_FORMAT))).alias("hour"),
     )
-
-
-def numbered_facts(rows: DataFrame) -> DataFrame:
-    """Facts with their own surrogate key, in source order."""
-    return surrogate(rows, "ordinal", "txn_sk").drop("ordinal")
-
-
-def staged_dim(dim: DataFrame, name: str) -> DataFrame:
-    return stage(dim, name)

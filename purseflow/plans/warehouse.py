@@ -187,11 +187,6 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.dim_date(days, "d")
 
 
-def fact_rows(spark: SparkSession, folder: str) -> DataFrame:
-    users = stage(warehouse.dim_user(t.raw_users(spark, folder)), "dim_user")
-    return warehouse.facts(t.raw(spark, folder), users)
-
-
 FACTS = f"""fact AS (SELECT ROW_NUMBER() OVER (ORDER BY ordinal) AS txn_sk, txn_id, user_sk, merchant_sk,
     CAST(replace("date", '-', '') AS INTEGER) AS date_sk, cat_sk, wallet_sk,
     CAST({NUM} AS DECIMAL(18,2)) AS amount, status, CAST(status = 'SUCCESS' AS INTEGER) AS is_success,
@@ -207,7 +202,10 @@ STAR = (t.USERS, t.RAW_USERS, t.RAW, DIM_USER, DIM_MERCHANT, DIM_CATEGORY, DIM_W
     {dbl('amount')} AS amount, status, is_success, hour FROM fact"""),
 )
 def fact_load(spark: SparkSession, folder: str) -> DataFrame:
-    facts = warehouse.numbered_facts(fact_rows(spark, folder))
+    """Numbered in source order before the lookups, so that the lookups run once."""
+    users = stage(warehouse.dim_user(t.raw_users(spark, folder)), "dim_user")
+    numbered = warehouse.surrogate(t.raw(spark, folder), "ordinal", "txn_sk")
+    facts = warehouse.facts(numbered, users)
     return facts.withColumn("amount", fn.dbl(F.col("amount")))
 
 

@@ -23,6 +23,8 @@ def build_session(app: str = "purseflow", master: str | None = None, **conf: str
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.ui.enabled": "false",
+        # recording the Python line of every column operation slows down plan building
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -63,3 +65,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores over all of them.
+
+    A small file with one row group would keep a single core busy. A large table has
+    more splits than cores and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

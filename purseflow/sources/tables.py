@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
+from ..session import widen
 
 # The codes and names of the payments domain.
 STATUS_OF_CODE = {"F": "SUCCESS", "P": "FAILED", "O": "PENDING"}
@@ -169,14 +170,10 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("o_orderkey")
     amount = F.col("o_totalprice").cast(fn.MONEY)
     status = mapped(F.col("o_orderstatus"), STATUS_OF_CODE)
-    clock = F.format_string(
-        "%s %02d:%02d:%02d",
-        F.date_format("o_orderdate", "yyyy-MM-dd"),
-        F.floor(key % 86400 / 3600).cast("int"),
-        F.floor(key % 3600 / 60).cast("int"),
-        (key % 60).cast("int"),
+    clock = F.date_format(
+        F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss"
     )
-    return read(spark, folder, "orders").select(
+    return widen(read(spark, folder, "orders")).select(
         key.alias("ordinal"),
         F.when(key % 97 == 0, F.concat(F.lit("BAD"), key.cast("string")))
         .otherwise(fn.txn_code(key - (key % 89 == 1).cast("int")))
@@ -201,7 +198,7 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
         .alias("status"),
         picked(F.col("o_custkey") % len(WALLETS), WALLETS).alias("wallet_type"),
         F.when(key % 43 == 11, F.lit("not-a-date")).otherwise(clock).alias("timestamp"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.to_date("o_orderdate").cast("string").alias("date"),
     )
 
 
