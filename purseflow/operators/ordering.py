@@ -74,9 +74,8 @@ def positions(
 
 def ranks(df: DataFrame, by: Sequence[str], value: Column, key: str) -> DataFrame:
     """RANK() of every row within its group by ``value`` descending."""
-    numbered = stage(
-        positions(df.withColumn("sort_value", value), [F.col("sort_value").desc(), F.col(key)], by),
-        "ranked",
+    numbered = positions(
+        df.withColumn("sort_value", value), [F.col("sort_value").desc(), F.col(key)], by, "ranked"
     )
     ties = numbered.groupBy(*by, "sort_value").agg(
         F.min("pos").alias("first_pos"), F.count("*").alias("n_ties")

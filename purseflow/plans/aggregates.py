@@ -286,9 +286,9 @@ def describe_amount(spark: SparkSession, folder: str) -> DataFrame:
         fn.dbl(F.min("amount")).alias("min_amount"),
         fn.dbl(F.max("amount")).alias("max_amount"),
     )
-    cuts = percentiles(df, "amount", [25, 50, 75, 95]).withColumnRenamed("p50", "median")
-    one = F.lit(1).alias("one")  # both sides are a single row
-    return moments.select("*", one).join(F.broadcast(cuts.select("*", one)), "one").drop("one")
+    cuts = stage(percentiles(df, "amount", [25, 50, 75, 95]), "cuts")  # one row
+    named = {"p25": "p25", "median": "p50", "p75": "p75", "p95": "p95"}
+    return moments.withColumns({k: cuts.select(c).scalar() for k, c in named.items()})
 
 
 @report(
@@ -593,11 +593,7 @@ def dash_cities(spark: SparkSession, folder: str) -> DataFrame:
 )
 def dash_alert_count(spark: SparkSession, folder: str) -> DataFrame:
     """Unsuccessful high-value rows, pending ones included."""
-    return (
-        t.txn(spark, folder, above=HIGH_VALUE)
-        .where(fn.is_success(F.col("status")) == 0)
-        .agg(n_rows("alerts"))
-    )
+    return t.txn(spark, folder, but="SUCCESS", above=HIGH_VALUE).agg(n_rows("alerts"))
 
 
 @report(

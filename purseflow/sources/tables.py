@@ -67,13 +67,22 @@ def picked(index: Column, names: list[str]) -> Column:
 
 
 def txn(
-    spark: SparkSession, folder: str, status: str | None = None, above: float | None = None
+    spark: SparkSession,
+    folder: str,
+    status: str | None = None,
+    above: float | None = None,
+    but: str | None = None,
 ) -> DataFrame:
-    """Transactions. ``status`` and ``above`` filter on stored columns, so they reach the scan."""
+    """Transactions with one status (or any ``but`` one) and an amount ``above`` a limit.
+
+    The filters are stated on stored columns, so that they reach the scan.
+    """
     orders = read(spark, folder, "orders")
+    code_of = {s: c for c, s in STATUS_OF_CODE.items()}
     if status is not None:
-        code = next(c for c, s in STATUS_OF_CODE.items() if s == status)
-        orders = orders.where(F.col("o_orderstatus") == code)
+        orders = orders.where(F.col("o_orderstatus") == code_of[status])
+    if but is not None:
+        orders = orders.where(F.col("o_orderstatus") != code_of[but])
     if above is not None:
         orders = orders.where(F.col("o_totalprice") > float(above))
     out = orders.select(
