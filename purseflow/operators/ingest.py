@@ -46,10 +46,13 @@ def upsert_latest(
 
 
 def numbered_batches(raw: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """Add ``batch_id``: the source order cut into runs of ``rows``, and whether a row is valid."""
-    placed = positions(raw, [F.col("ordinal")], name="batches")
+    """Add ``batch_id``: the source order cut into runs of ``rows``, and whether a row is valid.
+
+    Rows read in source order bring their ``pos``; others are put in order by ``ordinal``.
+    """
+    placed = raw if "pos" in raw.columns else positions(raw, [F.col("ordinal")], name="batches")
     return placed.select(
-        *raw.columns,
+        *[c for c in raw.columns if c != "pos"],
         (F.floor(F.col("pos") / rows) + 1).alias("batch_id"),
         gate_condition().alias("ok"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
 from ..operators import ingest, joins, rules
-from ..session import fresh_path, stage
+from ..session import fresh_path, stage, write_table
 from ..sources import files
 from ..sources import tables as t
 from .quality import CATEGORY_LIST, NUM, STATUS_LIST
@@ -81,21 +81,20 @@ def run(spark: SparkSession, folder: str, out: str) -> DataFrame:
     The counts are observed while the tables are written; no row reaches the driver.
     """
     seen_in, seen_out = Observation(), Observation()
-    bronze = f"{out}/bronze"
-    t.raw(spark, folder).observe(seen_in, F.count(F.lit(1)).alias("n")).write.parquet(bronze)
-    rows = checked(spark.read.parquet(bronze))
+    n = F.count(F.lit(1)).alias("n")
+    bronze = write_table(t.raw(spark, folder).observe(seen_in, n), f"{out}/bronze")
+    rows = checked(bronze)
     valid, rejected = rows.where(F.size("errors") == 0), rows.where(F.size("errors") > 0)
-    silver(valid, t.raw_users(spark, folder)).observe(
-        seen_out, F.count(F.lit(1)).alias("n")
-    ).write.parquet(f"{out}/silver")
-    rejected.write.parquet(f"{out}/rejects")
-    stored = spark.read.parquet(f"{out}/silver")
+    stored = write_table(
+        silver(valid, t.raw_users(spark, folder)).observe(seen_out, n), f"{out}/silver"
+    )
+    write_table(rejected, f"{out}/rejects")
     files.write_partitioned(
         first_months(stored).withColumns({"p_year": F.col("year"), "p_month": F.substring("month", 6, 2)}),
         f"{out}/lake",
         ["p_year", "p_month"],
     )
-    monthly_gold(stored).write.parquet(f"{out}/gold_monthly")
+    write_table(monthly_gold(stored), f"{out}/gold_monthly")
     n_in, n_out = seen_in.get["n"], seen_out.get["n"]
     metrics = spark.createDataFrame(
         [(n_in, n_out, n_in - n_out)], "records_in bigint, records_out bigint, rejected bigint"

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from ..operators.ordering import positions
 from ..session import fresh_path
 from ..sources import tables as t
 from ..streaming import jobs
@@ -22,9 +21,8 @@ SLICED = f"""sliced AS (SELECT *, CAST(((ROW_NUMBER() OVER (ORDER BY txn_id) - 1
 
 def txn_slices(spark: SparkSession, folder: str) -> DataFrame:
     """All transactions as a stream of six slices, one file per trigger."""
-    rows = t.txn(spark, folder)
-    n = rows.agg(F.count("*")).scalar()
-    placed = positions(rows, [F.col("txn_id")], name="slices")
+    n = t.read(spark, folder, "orders").agg(F.count("*")).scalar()
+    placed = t.txn(spark, folder, placed=True)
     sliced = placed.withColumn("slice", F.floor(F.col("pos") * SLICES / n).cast("int")).drop("pos")
     path = fresh_path(spark, "slices")
     sliced.write.partitionBy("slice").parquet(path)

@@ -29,7 +29,7 @@ BATCHES = f"""batches AS (SELECT *, {GATE_SQL} AS ok,
     COUNT(*) FILTER (NOT ok) AS failed FROM batches GROUP BY batch_id"""),
 )
 def ingest_batch_log(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.batch_log(ingest.numbered_batches(t.raw(spark, folder)))
+    return ingest.batch_log(ingest.numbered_batches(t.raw(spark, folder, placed=True)))
 
 
 @report(
@@ -41,7 +41,7 @@ def ingest_batch_log(spark: SparkSession, folder: str) -> DataFrame:
           FROM firsts WHERE nth = 1"""),
 )
 def ingested_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ingest.ingested(ingest.numbered_batches(t.raw(spark, folder)))
+    rows = ingest.ingested(ingest.numbered_batches(t.raw(spark, folder, placed=True)))
     return rows.withColumn("amount", fn.dbl(F.col("amount"))).drop("ordinal")
 
 
@@ -202,9 +202,9 @@ STAR = (t.USERS, t.RAW_USERS, t.RAW, DIM_USER, DIM_MERCHANT, DIM_CATEGORY, DIM_W
     {dbl('amount')} AS amount, status, is_success, hour FROM fact"""),
 )
 def fact_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Numbered in source order before the lookups, so that the lookups run once."""
+    """Facts numbered in source order, with their foreign keys."""
     users = stage(warehouse.dim_user(t.raw_users(spark, folder)), "dim_user")
-    numbered = warehouse.surrogate(t.raw(spark, folder), "ordinal", "txn_sk")
+    numbered = t.raw(spark, folder, placed=True).withColumn("txn_sk", F.col("pos") + 1)
     facts = warehouse.facts(numbered, users)
     return facts.withColumn("amount", fn.dbl(F.col("amount")))
 
@@ -341,6 +341,7 @@ def compact_by_user(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- keyed log -------------------------------------------------------------
 
+# Partitions of the log, consumer groups and how much they poll.
 BUCKETS = 4
 GROUPS = {"fraud-detection-group": 5, "analytics-group": 3}
 REPLAY_GROUP, REPLAY_ROWS = "audit-replay-group", 3
@@ -512,4 +513,4 @@ BYTES = " + ".join(f"CAST('0x' || substr(d, {2 * i + 1}, 2) AS BIGINT)" for i in
           (GREATEST(cents * 256 + ({BYTES} - 1530) * 5000, 25600) + 128) >> 8 AS cents FROM copies"""),
 )
 def replicate_11x(spark: SparkSession, folder: str) -> DataFrame:
-    return synthetic.replicate(t.txn(spark, folder).select("txn_id", "amount"))
+    return synthetic.replicate(t.txn(spark, folder, placed=True).select("txn_id", "amount", "pos"))

@@ -55,6 +55,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/purseflow/{uuid.uuid4().hex}/{name}"
 
 
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write rows and return a read of them; the layout is known, so no file is inspected."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -62,9 +68,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     depend on the physical plan (partition numbers), and keeps column pruning for
     the readers, which a row checkpoint would not.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_table(df, fresh_path(df.sparkSession, name))
 
 
 def widen(df: DataFrame) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as fn
+from ..operators.joins import broadcast_if_small
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -39,6 +40,23 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
     df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def in_source_order(scan: DataFrame) -> DataFrame:
+    """Add ``pos``, the row's 0-based place in the source: by file name, then row in the file.
+
+    The Parquet reader knows each row's number in its file, so no row is sorted or
+    shuffled; the rows before a file come from one number per file. ``scan`` has to be a
+    plain read, because the file columns are lost after other operations.
+    """
+    place = scan.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    sizes = place.groupBy("_file").agg((F.max("_row") + 1).alias("_size"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select("_file", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    joined = place.join(broadcast_if_small(base), "_file")
+    return joined.select(*scan.columns, (F.col("_base") + F.col("_row")).alias("pos"))
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Application log lines as columns."""
     parsed = spark.read.text(path).select(fn.parse_log_line(F.col("value")).alias("p"))

@@ -66,7 +66,7 @@ def replicate(rows: DataFrame, copies: int = COPIES) -> DataFrame:
     ids run from 1 without gaps. The noise is 50 * (sum of 12 bytes - 1530) / 256 and is kept
     in whole numbers: 1/256 cents.
     """
-    placed = positions(rows, [F.col("txn_id")], name="replicate")
+    placed = rows if "pos" in rows.columns else positions(rows, [F.col("txn_id")], name="replicate")
     n = rows.agg(F.count("*")).scalar()
     spread = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     noise = byte_sum(F.md5(F.concat_ws(":", F.col("copy").cast("string"), F.col("txn_id").cast("string")))) - 1530

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
 from ..session import widen
+from .files import in_source_order
 
 # The codes and names of the payments domain.
 STATUS_OF_CODE = {"F": "SUCCESS", "P": "FAILED", "O": "PENDING"}
@@ -49,8 +50,27 @@ PRIORITY_CATEGORY = {
 }
 
 
-def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+# Declared layouts, so that no job has to look into a file before the query starts.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def read(spark: SparkSession, folder: str, table: str, placed: bool = False) -> DataFrame:
+    """A warehouse table; ``placed`` adds each row's position in the source as ``pos``."""
+    reader = spark.read.schema(SCHEMAS[table]) if table in SCHEMAS else spark.read
+    rows = reader.parquet(f"{folder}/{table}.parquet")
+    return in_source_order(rows) if placed else rows
 
 
 def mapped(key: Column, mapping: dict[str, str], default: str | None = None) -> Column:
@@ -66,18 +86,23 @@ def picked(index: Column, names: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), index.cast("int") + 1)
 
 
+def pos_of(rows: DataFrame) -> list[Column]:
+    return [F.col("pos")] if "pos" in rows.columns else []
+
+
 def txn(
     spark: SparkSession,
     folder: str,
     status: str | None = None,
     above: float | None = None,
     but: str | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Transactions with one status (or any ``but`` one) and an amount ``above`` a limit.
 
     The filters are stated on stored columns, so that they reach the scan.
     """
-    orders = read(spark, folder, "orders")
+    orders = read(spark, folder, "orders", placed)
     code_of = {s: c for c, s in STATUS_OF_CODE.items()}
     if status is not None:
         orders = orders.where(F.col("o_orderstatus") == code_of[status])
@@ -92,6 +117,7 @@ def txn(
         (F.lit(status) if status else mapped(F.col("o_orderstatus"), STATUS_OF_CODE)).alias("status"),
         F.col("o_orderpriority").alias("category"),
         F.col("o_orderdate").alias("ts"),
+        *pos_of(orders),
     )
     return out if above is None else out.where(F.col("amount") > F.lit(above).cast(fn.MONEY))
 
@@ -169,7 +195,7 @@ EV = """ev AS (
   SELECT event_id, ts, user_id, event_type AS category, value AS amount FROM events)"""
 
 
-def raw(spark: SparkSession, folder: str) -> DataFrame:
+def raw(spark: SparkSession, folder: str, placed: bool = False) -> DataFrame:
     """Bronze rows: every transaction as text, with realistic defects.
 
     The defects are a function of the key, so that other engines derive the same rows:
@@ -182,7 +208,9 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
     clock = F.date_format(
         F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate")), "yyyy-MM-dd HH:mm:ss"
     )
-    return widen(read(spark, folder, "orders")).select(
+    orders = widen(read(spark, folder, "orders", placed))
+    return orders.select(
+        *pos_of(orders),
         key.alias("ordinal"),
         F.when(key % 97 == 0, F.concat(F.lit("BAD"), key.cast("string")))
         .otherwise(fn.txn_code(key - (key % 89 == 1).cast("int")))

@@ -127,6 +127,15 @@ def test_fingerprint_notices_every_change(spark):
         assert contents(files.fingerprint(base)) != contents(files.fingerprint(other))
 
 
+def test_source_order_runs_through_the_files_by_name(spark):
+    path = fresh_path(spark, "many")
+    spark.range(1_000).repartitionByRange(7, "id").sortWithinPartitions("id").write.parquet(path)
+    scan = spark.read.schema("id bigint").parquet(path)
+    placed = files.in_source_order(scan)
+    assert placed.count() == 1_000 and placed.where("id <> pos").count() == 0
+    assert placed.where("id % 2 = 1").where("id <> pos").count() == 0  # a filter moves no row
+
+
 def test_csv_round_trip_as_text(spark):
     path = fresh_path(spark, "csv")
     rows = spark.createDataFrame([("a", "1,5"), (None, 'q"x')], "k string, amount string")
