@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
 from .ordering import positions
-from .rules import gate_condition, strict_amount
+from .rules import gate_condition, mark_repeats, strict_amount
 
 # Fixed value: rows per ingestion batch.
 BATCH_ROWS = 5_000
@@ -68,7 +68,10 @@ def batch_log(batches: DataFrame) -> DataFrame:
 
 
 def ingested(batches: DataFrame) -> DataFrame:
-    """The loaded table: valid rows, first write per id, with batch number and checksum."""
+    """The loaded table: valid rows, first write per id, with batch number and checksum.
+
+    Only ids and ordinals are grouped; whole rows meet just the ids that repeat.
+    """
     rows = batches.where("ok").select(
         "ordinal",
         "txn_id",
@@ -82,4 +85,4 @@ def ingested(batches: DataFrame) -> DataFrame:
         "batch_id",
         fn.row_checksum(F.col("txn_id"), F.col("amount")).alias("checksum"),
     )
-    return first_per_key(rows, ["txn_id"], ["ordinal"])
+    return mark_repeats(rows, "txn_id", "ordinal").where(~F.col("is_repeat")).drop("is_repeat")

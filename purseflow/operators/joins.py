@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -30,12 +30,15 @@ def join_group_stats(
     rows are not shuffled at all. The other keys meet in an ordinary join.
     """
     keys = list(keys)
-    known = stage(stats, "group_stats")
-    share = known.agg(F.coalesce(F.sum(n_col) / HOT_KEYS, F.lit(0.0)).alias("share"))
-    hot = known.where(F.col(n_col) > F.greatest(F.lit(float(hot_floor)), share.scalar()))
-    if hot.isEmpty():
+    seen = Observation()  # the largest key and the total, noted while the table is written
+    known = stage(
+        stats.observe(seen, F.max(n_col).alias("top"), F.sum(n_col).alias("total")), "group_stats"
+    )
+    top, total = seen.get["top"] or 0, seen.get["total"] or 0
+    limit = max(hot_floor, total // HOT_KEYS)
+    if top <= limit:
         return rows.join(known.drop(n_col), keys, how)
-    hot = stage(hot, "hot_keys")
+    hot = known.where(F.col(n_col) > limit)
     warm = rows.join(F.broadcast(hot.drop(n_col)), keys)
     cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(
         known.drop(n_col), keys, how

@@ -21,6 +21,7 @@ class VersionedTable:
         self.rows_path = f"{path}/rows"
         self.commits_path = f"{path}/commits"
         self._empty(COMMITS).write.mode("append").parquet(self.commits_path)
+        self._latest: int | None = None  # known after the first look, as there is one writer
 
     def _empty(self, schema: str) -> DataFrame:
         return self.spark.createDataFrame([], schema)
@@ -30,8 +31,10 @@ class VersionedTable:
 
     def latest(self) -> int:
         """The last committed version, -1 before the first write."""
-        last = self.commits().agg(F.max("version").alias("v")).first().v
-        return -1 if last is None else last
+        if self._latest is None:
+            last = self.commits().agg(F.max("version").alias("v")).first().v
+            self._latest = -1 if last is None else last
+        return self._latest
 
     def _base(self, version: int) -> int:
         fresh = self.commits().where((F.col("version") <= version) & (F.col("action") != "APPEND"))
@@ -54,6 +57,7 @@ class VersionedTable:
         counted.select(*columns).write.mode("overwrite").parquet(f"{self.rows_path}/version={version}")
         commit = [(version, action, seen.get["n_rows"], seen.get["n_changed"])]
         self.spark.createDataFrame(commit, COMMITS).coalesce(1).write.mode("append").parquet(self.commits_path)
+        self._latest = version
         return version
 
     def as_of(self, version: int | None = None) -> DataFrame:

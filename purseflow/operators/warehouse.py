@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,27 +69,46 @@ def dim_date(facts: DataFrame, day: str) -> DataFrame:
     )
 
 
-def facts(raw: DataFrame, users: DataFrame) -> DataFrame:
+NAME_DIMS = {
+    "merchant": (dim_merchant, "merchant_sk"),
+    "category": (dim_category, "cat_sk"),
+    "wallet_type": (dim_wallet, "wallet_sk"),
+}
+NAME_MAPS = {
+    "merchant": t.MERCHANT_TYPE, "category": t.CATEGORY_PARENT, "wallet_type": dict.fromkeys(t.WALLETS, "")
+}
+
+
+def names_in_use(raw: DataFrame) -> DataFrame:
+    """The combinations of known names, from one pass over the rows.
+
+    Names outside the mappings become NULL, so the result is bounded by the mappings.
+    """
+    known = [F.when(F.col(c).isin(list(m)), F.col(c)).alias(c) for c, m in NAME_MAPS.items()]
+    return stage(raw.select(*known).distinct(), "names")
+
+
+def facts(raw: DataFrame, users: DataFrame, names: Sequence[str] = tuple(NAME_DIMS)) -> DataFrame:
     """Facts with foreign keys; an unknown natural key gives NULL. ``raw`` may bring ``txn_sk``.
 
+    ``names`` are the name dimensions to look up.
+
     The name dimensions are bounded by their fixed mappings and are broadcast. Users
     grow with the business, so their join is left to Spark: broadcast when small,
     otherwise a shuffle join with adaptive skew splitting.
     """
-    natural = {"merchant": dim_merchant(raw), "category": dim_category(raw), "wallet_type": dim_wallet(raw)}
     out = raw.join(users.select("user_id", "user_sk"), "user_id", "left")
-    for key, dim in natural.items():
-        sk = next(c for c in dim.columns if c.endswith("_sk"))
-        out = out.join(F.broadcast(dim.select(key, sk)), key, "left")
+    in_use = names_in_use(raw) if NAME_DIMS.keys() & set(names) else raw
+    for key in names:
+        make, sk = NAME_DIMS[key]
+        out = out.join(F.broadcast(make(in_use).select(key, sk)), key, "left")
     status = F.col("status")
     return out.select(
         *[c for c in ("txn_sk",) if c in raw.columns],
         "txn_id",
         "user_sk",
-        "merchant_sk",
+        *[NAME_DIMS[key][1] for key in names],
         F.regexp_replace("date", "-", "").try_cast("int").alias("date_sk"),
-        "cat_sk",
-        "wallet_sk",
         strict_amount(F.col("amount")).cast(fn.MONEY).alias("amount"),
         "status",
         fn.is_success(status).alias("is_success"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from ..operators import ingest, keyed_log, rules, warehouse
+from ..operators import ingest, keyed_log, warehouse
 from ..operators.snapshots import VersionedTable
 from ..session import fresh_path, stage
 from ..sources import files, synthetic
@@ -222,7 +222,7 @@ def star_q1_city_tier(spark: SparkSession, folder: str) -> DataFrame:
     calendar = warehouse.dim_date(raw.select(F.to_date("date").alias("d")), "d")
     quarter = F.broadcast(calendar.where("quarter = 1").select("date_sk"))
     per_user = (
-        warehouse.facts(raw, users)
+        warehouse.facts(raw, users, names=())
         .where("is_success = 1")
         .join(quarter, "date_sk")
         .groupBy("user_sk")
@@ -368,7 +368,7 @@ def keyed_log_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return keyed_log.distribution(event_log(spark, folder))
 
 
-def poll_size() -> "F.Column":
+def poll_size() -> Column:
     return t.mapped(F.col("consumer"), {k: str(v) for k, v in GROUPS.items()}).cast("bigint")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
 from ..operators.ordering import positions
+from ..session import widen
 from . import tables as t
 
 # Amounts from 10.00 to 50,000.00, status weights, one year of seconds.
@@ -68,7 +69,7 @@ def replicate(rows: DataFrame, copies: int = COPIES) -> DataFrame:
     """
     placed = rows if "pos" in rows.columns else positions(rows, [F.col("txn_id")], name="replicate")
     n = rows.agg(F.count("*")).scalar()
-    spread = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    spread = widen(placed).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     noise = byte_sum(F.md5(F.concat_ws(":", F.col("copy").cast("string"), F.col("txn_id").cast("string")))) - 1530
     fine = (F.col("amount") * 100).cast("bigint") * 256 + noise * 5000
     cents = F.shiftright(F.greatest(fine, F.lit(100 * 256)) + 128, 8)
