@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -37,13 +39,18 @@ def join_group_stats(
     top, total = seen.get["top"] or 0, seen.get["total"] or 0
     limit = max(hot_floor, total // HOT_KEYS)
     if top <= limit:
-        return rows.join(known.drop(n_col), keys, how)
+        return join_on_groups(rows, known.drop(n_col), keys, how)
     hot = known.where(F.col(n_col) > limit)
-    warm = rows.join(F.broadcast(hot.drop(n_col)), keys)
-    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(
-        known.drop(n_col), keys, how
-    )
-    return warm.unionByName(cold)
+    warm = join_on_groups(rows, F.broadcast(hot.drop(n_col)), keys, "inner")
+    others = join_on_groups(rows, F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return warm.unionByName(join_on_groups(others, known.drop(n_col), keys, how))
+
+
+def join_on_groups(rows: DataFrame, stats: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which NULL matches NULL, since grouping makes NULL a group as well."""
+    other = stats.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return rows.join(other, same, how).drop(*[f"_{k}" for k in keys])
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions import scalar as fn
 from ..operators import joins, ordering
 from ..session import stage
 from ..sources import tables as t
+from ..sources import views
 from .aggregates import HIGH_FAILED, HIGH_VALUE, MONTH_SQL
 from .registry import avg2, dbl, mln2, pct2, report, with_
 
@@ -252,8 +253,9 @@ def ratio_to_mean(n: Column) -> Column:
 )
 def fraud_3x_user_avg(spark: SparkSession, folder: str) -> DataFrame:
     n = F.col("user_n").cast("decimal(10,0)")
+    known = t.txn(spark, folder).where(F.col("user_id").isNotNull())
     return (
-        with_user_average(spark, folder, t.txn(spark, folder))
+        with_user_average(spark, folder, known)
         .where(F.col(amount) * n > F.col("user_total") * AVG_FACTOR)
         .select(
             "txn_id",
@@ -266,6 +268,36 @@ def fraud_3x_user_avg(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# ---- SQL text over named views ---------------------------------------------
+
+
+@report(
+    "sql_monthly_revenue",
+    with_(t.TXN, body=f"""SELECT {MONTH_SQL} AS month, COUNT(*) AS txns, {dbl('SUM(amount)')} AS revenue,
+    {avg2('SUM(amount)', 'COUNT(*)')} AS avg_txn FROM txn WHERE status = 'SUCCESS' GROUP BY 1"""),
+)
+def sql_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    return views.query(spark, folder, """
+        SELECT date_format(ts, 'yyyy-MM') AS month, COUNT(*) AS txns,
+               CAST(SUM(amount) AS DOUBLE) AS revenue,
+               CAST(ROUND(SUM(amount) / CAST(COUNT(*) AS DECIMAL(15,0)), 2) AS DOUBLE) AS avg_txn
+        FROM transactions WHERE status = 'SUCCESS' GROUP BY 1 ORDER BY 1""")
+
+
+@report(
+    "sql_daily_running_total",
+    with_(t.TXN, body=f"""SELECT day, daily_txns, {dbl('SUM(rev) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING)')}
+    AS running_total FROM (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS daily_txns, SUM(amount) AS rev FROM txn GROUP BY 1)"""),
+)
+def sql_daily_running_total(spark: SparkSession, folder: str) -> DataFrame:
+    return views.query(spark, folder, """
+        WITH daily AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS daily_txns, SUM(amount) AS rev
+                       FROM transactions GROUP BY 1)
+        SELECT day, daily_txns,
+               CAST(SUM(rev) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total
+        FROM daily ORDER BY day""")
+
+
 # ---- subqueries ------------------------------------------------------------
 
 

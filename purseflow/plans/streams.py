@@ -20,13 +20,14 @@ SLICED = f"""sliced AS (SELECT *, CAST(((ROW_NUMBER() OVER (ORDER BY txn_id) - 1
 
 
 def txn_slices(spark: SparkSession, folder: str) -> DataFrame:
-    """All transactions as a stream of six slices, one file per trigger."""
+    """All transactions as a stream of six slices, about one slice per micro-batch."""
     n = t.read(spark, folder, "orders").agg(F.count("*")).scalar()
     placed = t.txn(spark, folder, placed=True)
     sliced = placed.withColumn("slice", F.floor(F.col("pos") * SLICES / n).cast("int")).drop("pos")
     path = fresh_path(spark, "slices")
     sliced.write.partitionBy("slice").parquet(path)
-    return jobs.file_stream(spark, path, sliced.schema, max_files=SLICES)
+    n_files = len(spark.read.schema(sliced.schema).parquet(path).inputFiles())
+    return jobs.file_stream(spark, path, sliced.schema, max_files=max(1, n_files // SLICES))
 
 
 def event_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -114,6 +114,23 @@ def test_group_stats_join_with_and_without_hot_keys(frame, data, floor, how):
     assert {(r.id, r.total) for r in joined.collect()} == want
 
 
+def test_null_is_a_group_like_any_other(spark):
+    rows_ = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id bigint, grp string")
+    assert {(r.id, r.pos) for r in ordering.positions(rows_, [F.col("id")], ["grp"]).collect()} == {(1, 0), (2, 1), (3, 0)}
+    stats = rows_.groupBy("grp").agg(F.count("*").alias("size"), F.count("*").alias("n"))
+    for floor in (0, 10**9):
+        joined = joins.join_group_stats(rows_, stats, ["grp"], "n", hot_floor=floor)
+        assert {(r.id, r.size) for r in joined.collect()} == {(1, 2), (2, 2), (3, 1)}
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "id bigint, grp string")
+    assert ordering.positions(none, [F.col("id")], ["grp"]).count() == 0
+    assert ordering.order_statistics(none, "id", {"a": F.col("total") - 1}).count() == 0
+    assert ordering.rolling_sum(none, "grp", ["id"], "id", 3).count() == 0
+    assert ordering.ranks(none, ["grp"], F.col("id"), "id").count() == 0
+
+
 def test_broadcast_only_below_the_bound(frame):
     assert "broadcast" in plan(frame.join(joins.broadcast_if_small(frame, 1_000), "id")).lower()
     frame.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
