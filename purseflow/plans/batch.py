@@ -11,7 +11,7 @@ from ..session import fresh_path, stage, write_table
 from ..sources import files
 from ..sources import tables as t
 from .quality import CATEGORY_LIST, NUM, STATUS_LIST
-from .registry import dbl, mln2, pct2, report, with_
+from .registry import dbl, pct2, report, with_
 from .warehouse import GATE_SQL
 
 # Fixed value: the lake keeps this many months.

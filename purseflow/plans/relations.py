@@ -105,6 +105,16 @@ S96 = """s96 AS (SELECT * FROM txn WHERE status = 'SUCCESS'
          AND ts >= TIMESTAMP '1996-01-01' AND ts < TIMESTAMP '1997-01-01')"""
 
 
+@report(
+    "join_left_user_counts_all",
+    with_(t.TXN, t.USERS, body=f"""SELECT u.user_id, u.city, u.kyc_status, COUNT(t.txn_id) AS txn_count,
+    {dbl('COALESCE(SUM(t.amount), 0)')} AS total_spent
+    FROM users u LEFT JOIN txn t ON u.user_id = t.user_id GROUP BY u.user_id, u.city, u.kyc_status"""),
+)
+def join_left_user_counts_all(spark: SparkSession, folder: str) -> DataFrame:
+    return user_counts(spark, folder, t.txn(spark, folder))
+
+
 @report(
     "join_left_user_counts",
     with_(t.TXN, t.USERS, S96, body=f"""SELECT u.user_id, u.city, u.kyc_status, COUNT(s.txn_id) AS txn_count,
@@ -112,11 +122,12 @@ S96 = """s96 AS (SELECT * FROM txn WHERE status = 'SUCCESS'
     FROM users u LEFT JOIN s96 s ON u.user_id = s.user_id GROUP BY u.user_id, u.city, u.kyc_status"""),
 )
 def join_left_user_counts(spark: SparkSession, folder: str) -> DataFrame:
-    per_user = (
-        success_of_1996(spark, folder)
-        .groupBy("user_id")
-        .agg(F.count("txn_id").alias("n"), F.sum(amount).alias("spent"))
-    )
+    return user_counts(spark, folder, success_of_1996(spark, folder))
+
+
+def user_counts(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    """Every user with the number and sum of their rows, 0 for users without any."""
+    per_user = rows.groupBy("user_id").agg(F.count("txn_id").alias("n"), F.sum(amount).alias("spent"))
     return (
         t.users(spark, folder)
         .join(per_user, "user_id", "left")

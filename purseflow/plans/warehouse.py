@@ -11,7 +11,6 @@ from ..operators.snapshots import VersionedTable
 from ..session import fresh_path, stage
 from ..sources import files, synthetic
 from ..sources import tables as t
-from .aggregates import MONTH_SQL
 from .quality import NUM
 from .registry import dbl, mln2, report, with_
 from .relations import VERY_HIGH_SUCCESS

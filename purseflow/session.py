@@ -23,6 +23,9 @@ def build_session(app: str = "purseflow", master: str | None = None, **conf: str
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.ui.enabled": "false",
+        # state of streams with many keys stays on disk instead of the heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # recording the Python line of every column operation slows down plan building
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,

@@ -22,6 +22,22 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFram
     return spark.read.schema(text_schema(columns)).option("header", True).csv(path)
 
 
+def with_source_order(scan: DataFrame, out: str = "ordinal") -> DataFrame:
+    """Add a sortable source position to rows of text files: file, block, row within the block.
+
+    Text formats know no row numbers; rows of one block are read in order by one task, so
+    its increasing id orders them, whatever blocks the task reads besides.
+    """
+    return scan.select(
+        "*",
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias(out),
+    )
+
+
 def read_typed_csv(spark: SparkSession, path: str, columns: Sequence[str], times: Sequence[str]) -> DataFrame:
     """CSV with amounts as money and the named columns as times."""
     rows = read_csv(spark, path, columns)

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from purseflow.operators import ingest, keyed_log, warehouse
+from purseflow.operators import ingest, keyed_log, rules, warehouse
 from purseflow.operators.snapshots import VersionedTable
 from purseflow.plans import batch
 from purseflow.session import fresh_path, shared_dir, stage
@@ -136,6 +136,21 @@ def test_source_order_runs_through_the_files_by_name(spark):
     assert placed.where("id % 2 = 1").where("id <> pos").count() == 0  # a filter moves no row
 
 
+def test_the_first_row_of_a_repeated_id_follows_file_and_line_order(spark):
+    path = fresh_path(spark, "ordered")
+    cols = ["txn_id", "user_id", "merchant", "category", "amount", "status", "wallet_type", "timestamp", "date"]
+    names = ["transactions_2023_01", "transactions_2023_02", "transactions_2023_03"]
+    for name in reversed(names):  # written in another order than they are named
+        lines = [(f"TXN{i % 10:08d}", "U0001", name, "Food", "5", "SUCCESS", "w", f"row {i}", "d") for i in range(20)]
+        one = spark.createDataFrame(lines, ", ".join(f"{c} string" for c in cols)).coalesce(1)
+        files.write_csv(one, f"{path}/file={name}")
+    scan = files.read_csv(spark, f"{path}/file=*", cols)
+    tidy = rules.tidy(files.with_source_order(scan))
+    kept = {(r.txn_id, r.merchant, r.timestamp) for r in tidy.where(F.size("reasons") == 0).collect()}
+    assert kept == {(f"TXN{i:08d}", names[0], f"row {i}") for i in range(10)}
+    assert tidy.where(F.array_contains("reasons", "duplicate txn_id")).count() == 50
+
+
 def test_csv_round_trip_as_text(spark):
     path = fresh_path(spark, "csv")
     rows = spark.createDataFrame([("a", "1,5"), (None, 'q"x')], "k string, amount string")
