@@ -14,6 +14,7 @@ from ..session import stage
 HOT_KEYS = 2_000  # a key is hot above 1/2000 of all rows, so at most 2000 keys are hot
 HOT_FLOOR = 5_000_000  # below this many rows a key is no burden for one task
 BROADCAST_ROWS = 100_000
+BROADCAST_FILES = 1_000_000  # one path and one number per file
 
 
 def join_group_stats(
@@ -23,19 +24,22 @@ def join_group_stats(
     n_col: str,
     how: str = "inner",
     hot_floor: int = HOT_FLOOR,
+    small: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join per-key statistics back to their rows.
 
-    ``stats`` has one row per key with ``n_col``, the key's number of rows. Adaptive
-    skew splitting does not apply when one side ends in an aggregate, so hot keys are
-    split here: their statistics, at most ``HOT_KEYS`` rows, are broadcast and their
-    rows are not shuffled at all. The other keys meet in an ordinary join.
+    ``stats`` has one row per key with ``n_col``, the key's number of rows. Up to
+    ``small`` keys are broadcast, so no row is shuffled. Beyond that, hot keys are split
+    off, because adaptive skew splitting does not apply when one side ends in an
+    aggregate: their statistics, at most ``HOT_KEYS`` rows, are broadcast, and the rows
+    of the other keys meet theirs in an ordinary join.
     """
     keys = list(keys)
-    seen = Observation()  # the largest key and the total, noted while the table is written
-    known = stage(
-        stats.observe(seen, F.max(n_col).alias("top"), F.sum(n_col).alias("total")), "group_stats"
-    )
+    seen = Observation()  # number of keys, largest key and total, noted while writing
+    noted = F.count(F.lit(1)).alias("n_keys"), F.max(n_col).alias("top"), F.sum(n_col).alias("total")
+    known = stage(stats.observe(seen, *noted), "group_stats")
+    if seen.get["n_keys"] <= small:
+        return join_on_groups(rows, F.broadcast(known.drop(n_col)), keys, how)
     top, total = seen.get["top"] or 0, seen.get["total"] or 0
     limit = max(hot_floor, total // HOT_KEYS)
     if top <= limit:

@@ -201,12 +201,11 @@ def agg_avg_by(spark: SparkSession, folder: str) -> DataFrame:
 
 def percentile_picks(percents: list[int]) -> dict[str, Column]:
     """The two neighbours of each percentile in the sorted values."""
-    last = F.col("total") - 1
     picks = {}
     for p in percents:
-        low = F.floor(last * p / 100)
+        low = F.expr(f"((total - 1) * {p}) div 100")  # whole numbers, exact for any total
         picks[f"{p}:lo"] = low
-        picks[f"{p}:hi"] = F.least(low + 1, last)
+        picks[f"{p}:hi"] = F.least(low + 1, F.col("total") - 1)
     return picks
 
 

@@ -258,8 +258,7 @@ def dq_zscore_top5(spark: SparkSession, folder: str) -> DataFrame:
 
 def quartile_fences(df: DataFrame) -> DataFrame:
     """One row: the order statistics at n/4 and 3n/4 and the fences around them, exactly."""
-    n = F.col("total")
-    picks = {"q1": F.floor(n / 4), "q3": F.floor(n * 3 / 4)}
+    picks = {"q1": F.expr("total div 4"), "q3": F.expr("(total * 3) div 4")}
     found = ordering.order_statistics(df, "amount", picks)
     one = found.agg(
         F.max(F.when(F.col("pick") == "q1", F.col("value"))).alias("q1"),
@@ -342,7 +341,7 @@ def dq_behavioural(spark: SparkSession, folder: str) -> DataFrame:
         "user_id",
         fn.dbl(F.col("amount")).alias("amount"),
         fn.ratio(F.col("user_total"), F.col("user_n")).alias("user_avg"),
-        ratio_to_mean(F.col("user_n").cast("decimal(10,0)")).alias("ratio"),
+        ratio_to_mean(F.col("user_n").cast(fn.COUNT)).alias("ratio"),
     )
 
 

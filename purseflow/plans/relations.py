@@ -263,7 +263,7 @@ def ratio_to_mean(n: Column) -> Column:
     WHERE amount * user_n > {AVG_FACTOR} * user_total"""),
 )
 def fraud_3x_user_avg(spark: SparkSession, folder: str) -> DataFrame:
-    n = F.col("user_n").cast("decimal(10,0)")
+    n = F.col("user_n").cast(fn.COUNT)
     known = t.txn(spark, folder).where(F.col("user_id").isNotNull())
     return (
         with_user_average(spark, folder, known)
@@ -333,7 +333,7 @@ def sq_above_avg_users(spark: SparkSession, folder: str) -> DataFrame:
 )
 def sq_txn_vs_user_avg(spark: SparkSession, folder: str) -> DataFrame:
     """The mean covers all of a user's rows, the report only the successful ones."""
-    n = F.col("user_n").cast("decimal(10,0)")
+    n = F.col("user_n").cast(fn.COUNT)
     return with_user_average(spark, folder, t.txn(spark, folder, status="SUCCESS")).select(
         "txn_id",
         "user_id",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from ..operators import ingest, keyed_log, warehouse
+from ..operators import ingest, keyed_log, rules, warehouse
 from ..operators.snapshots import VersionedTable
 from ..session import fresh_path, stage
 from ..sources import files, synthetic
@@ -31,6 +31,15 @@ def ingest_batch_log(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.batch_log(ingest.numbered_batches(t.raw(spark, folder, placed=True)))
 
 
+@report(
+    "ingest_validate",
+    with_(t.RAW, body=f"SELECT ordinal, txn_id, {GATE_SQL} AS ok FROM raw"),
+)
+def ingest_validate(spark: SparkSession, folder: str) -> DataFrame:
+    """The condition a row has to meet to be loaded: a positive amount and a known id prefix."""
+    return t.raw(spark, folder).select("ordinal", "txn_id", rules.gate_condition().alias("ok"))
+
+
 @report(
     "ingested_rows",
     with_(t.RAW, BATCHES, f"""firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY txn_id ORDER BY ordinal) AS nth

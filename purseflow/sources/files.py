@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as fn
-from ..operators.joins import BROADCAST_ROWS
+from ..operators.joins import BROADCAST_FILES
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -69,7 +69,7 @@ def in_source_order(scan: DataFrame) -> DataFrame:
     sizes = place.groupBy("_file").agg((F.max("_row") + 1).alias("_size"))
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("_file", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
-    small = len(scan.inputFiles()) <= BROADCAST_ROWS  # the driver has this listing anyway
+    small = len(scan.inputFiles()) <= BROADCAST_FILES  # the driver has this listing anyway
     joined = place.join(F.broadcast(base) if small else base, "_file")
     return joined.select(*scan.columns, (F.col("_base") + F.col("_row")).alias("pos"))
 

@@ -20,6 +20,10 @@ def rows(seed: int, n: int = 400):
     ]
 
 
+# hot keys split off, no key hot, all keys broadcast
+WAYS = [{"hot_floor": 0, "small": 0}, {"hot_floor": 10**9, "small": 0}, {}]
+
+
 @pytest.fixture(params=[1, 2])
 def data(request):
     return rows(request.param)
@@ -99,12 +103,12 @@ def test_head_per_group(frame, data):
     assert got == want
 
 
-@pytest.mark.parametrize("floor", [0, 10**9])
+@pytest.mark.parametrize("way", WAYS)
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_group_stats_join_with_and_without_hot_keys(frame, data, floor, how):
+def test_group_stats_join_in_every_way(frame, data, way, how):
     stats = frame.groupBy("grp").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
     stats = stats.where("grp <> 'cold'")
-    joined = joins.join_group_stats(frame, stats, ["grp"], "n", how=how, hot_floor=floor)
+    joined = joins.join_group_stats(frame, stats, ["grp"], "n", how=how, **way)
     sums = defaultdict(Decimal)
     for _, g, v in data:
         sums[g] += v
@@ -118,8 +122,8 @@ def test_null_is_a_group_like_any_other(spark):
     rows_ = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id bigint, grp string")
     assert {(r.id, r.pos) for r in ordering.positions(rows_, [F.col("id")], ["grp"]).collect()} == {(1, 0), (2, 1), (3, 0)}
     stats = rows_.groupBy("grp").agg(F.count("*").alias("size"), F.count("*").alias("n"))
-    for floor in (0, 10**9):
-        joined = joins.join_group_stats(rows_, stats, ["grp"], "n", hot_floor=floor)
+    for way in WAYS:
+        joined = joins.join_group_stats(rows_, stats, ["grp"], "n", **way)
         assert {(r.id, r.size) for r in joined.collect()} == {(1, 2), (2, 2), (3, 1)}
 
 
