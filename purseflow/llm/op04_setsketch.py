@@ -10,9 +10,9 @@ sets decide the rest.
 Nothing is emitted for every pair of a group:
 
 * documents with equal sets are one class, found by a map-side aggregated signature;
-* in a band bucket every member is first compared with one centre, then with the most
-  widely colliding member, and only members that are still in different components are
-  compared with one another. Pairs inside one component are never made.
+* in a band bucket every member is first compared with a few centres, then with more of
+  them, and only members that are still in different components are compared with one
+  another. Pairs inside one component, or of too different sizes, are never made.
 
 The bands miss a pair of similarity 0.75 with a probability of 5e-6 (32 bands of 4).
 """
@@ -24,9 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .bitmap import bit_map, marked
 from .components import components
 from .registry import query, table
 from .tables import Workspace
@@ -36,6 +37,7 @@ SHINGLE = 5
 SIMILARITY = 0.75
 REGISTERS = 128
 BAND = 4
+CENTRES = (4, 32)  # members of a bucket that all others meet in the first and in the second round
 _LOG_BASE = np.log(1.001)
 _RATE = 20.0
 _TOP = 65_535
@@ -168,20 +170,34 @@ def sketch(documents: DataFrame) -> DataFrame:
     )
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("doc_id")
-        for first, sets in document_sets(batch):
-            full = [s if len(s) else None for s in sets]
-            regs = iter(registers([s for s in full if s is not None]) if any(s is not None for s in full) else [])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.slice(first, len(sets)),
-                    pa.array([None if s is None else next(regs).tobytes() for s in full], pa.binary()),
-                    pa.array([None if s is None else s.tobytes() for s in full], pa.binary()),
-                ],
-                names=["id", "regs", "members"],
-            )
+def _sides(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, regs, members``: registers and full set of every document in ``wanted(id)``.
+
+    Sets are derived again from the texts of these documents, so no table of all sets is
+    ever stored, and texts are not shuffled: a bit map of the wanted ids leaves out others.
+    """
+    marks = bit_map(wanted.select(F.xxhash64("id").alias("key")), "key")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            batch = batch.filter(pa.array(marked(marks.value, keys)))
+            ids = batch.column("id")
+            for first, sets in document_sets(batch):
+                full = [i for i, s in enumerate(sets) if len(s)]
+                regs = registers([sets[i] for i in full]) if full else []
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array([first + i for i in full], pa.int64())),
+                        pa.array([r.tobytes() for r in regs], pa.binary()),
+                        pa.array([sets[i].tobytes() for i in full], pa.binary()),
+                    ],
+                    names=["id", "regs", "members"],
+                )
+
+    docs = documents.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null")
+    found = docs.withColumn("key", F.xxhash64("id")).mapInArrow(rows, "id long, regs binary, members binary")
+    return found.join(wanted, "id", "left_semi")
 
 
 def _linked(similarity: float):
@@ -203,34 +219,28 @@ def _linked(similarity: float):
     return linked
 
 
-def verified(pairs: DataFrame, documents: DataFrame, similarity: float, work: Workspace) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets are similar enough, written as a table.
-
-    Sets are derived again from the texts of the documents that occur in a pair, so no
-    table of all sets is stored.
-    """
-    pairs = work.put(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sides = work.put(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(wanted, "doc_id", "left_semi")
-        .mapInArrow(_set_rows, "id long, regs binary, members binary")
-        .where("members is not null")
-    )
-    one = sides.dropDuplicates(["id"]) if _has_repeats(sides) else sides
-    left = one.select(F.col("id").alias("a"), F.col("regs").alias("regs_a"), F.col("members").alias("set_a"))
-    right = one.select(F.col("id").alias("b"), F.col("regs").alias("regs_b"), F.col("members").alias("set_b"))
-    found = work.put(
+def verified(pairs: DataFrame, sides: DataFrame, similarity: float, work: Workspace) -> DataFrame:
+    """The pairs ``a, b`` whose full shingle sets are similar enough, written as a table."""
+    left = sides.select(F.col("id").alias("a"), F.col("regs").alias("regs_a"), F.col("members").alias("set_a"))
+    right = sides.select(F.col("id").alias("b"), F.col("regs").alias("regs_b"), F.col("members").alias("set_b"))
+    return work.put(
         pairs.join(right, "b").join(left, "a")
         .where(_linked(similarity)("regs_a", "set_a", "regs_b", "set_b"))
         .select("a", "b")
     )
-    work.drop(sides)
-    return found
 
 
-def _has_repeats(sides: DataFrame) -> bool:
-    return bool(sides.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
+def _only(sides: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sides that occur in a pair; the bit map drops the others before any shuffle."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    marks = bit_map(wanted.select(F.xxhash64("id").alias("key")), "key")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = marked(marks.value, batch.column("key").to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(keep)).select(["id", "regs", "members"])
+
+    return sides.withColumn("key", F.xxhash64("id")).mapInArrow(rows, "id long, regs binary, members binary")
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -255,63 +265,72 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     # one row per class: its smallest document carries the bands
     shared = classes.where("n > 1").select(*key, "rep")
     placed = work.put(
-        filled.join(shared, key, "left").select(
-            "doc_id", F.coalesce("rep", "doc_id").alias("rep"), *key, "bands"
-        ).where("doc_id = rep").dropDuplicates(["doc_id"]).select("rep", "bands")
+        filled.join(shared, key, "left")
+        .where(F.col("doc_id") == F.coalesce("rep", "doc_id"))
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "bands")
+        .dropDuplicates(["rep"])
     )
-    rows = placed.select("rep", F.posexplode("bands").alias("band", "value"))
-    buckets = (
-        rows.groupBy("band", "value")
-        .agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+    rows = placed.select("rep", "n_shingles", F.posexplode("bands").alias("band", "value"))
+    bucket = ["band", "value"]
+    sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = work.put(rows.join(sizes, bucket))
+    # the members that collide most often come first in their buckets: they are the likeliest
+    # to be linked with many others, and they are the same ones in many buckets
+    popular = members.groupBy("rep").agg(F.sum("n").alias("met"))
+    ranked = members.select("rep", "n_shingles", *bucket).join(popular, "rep")
+    first = Window.partitionBy(*bucket).orderBy(F.col("met").desc(), "rep")
+    centres = work.put(
+        ranked.withColumn("nth", F.row_number().over(first))
+        .where(F.col("nth") <= CENTRES[-1])
+        .select(*bucket, "nth", F.col("rep").alias("centre"), F.col("n_shingles").alias("n_centre"))
     )
-    members = work.put(
-        rows.join(buckets, ["band", "value"]).select("band", "value", "rep", "centre", "n")
+    members = members.select("rep", "n_shingles", *bucket)
+    sides = work.put(_sides(documents, members.select(F.col("rep").alias("id")).distinct()).dropDuplicates(["id"]))
+    similar_size = 100 * F.least("n_shingles", "n_centre") >= round(similarity * 100) * F.greatest(
+        "n_shingles", "n_centre"
     )
-    tested = work.put(members.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
-    links = verified(tested, documents, similarity, work)
-    groups = work.put(components(links, work))
 
-    # members of buckets that still hold more than one component
-    def divided(of: DataFrame, groups: DataFrame) -> DataFrame:
+    def pairs_of(candidates: DataFrame, tested: list[DataFrame]) -> DataFrame:
+        out = candidates.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+        for old in tested:
+            out = out.join(old, ["a", "b"], "left_anti")
+        return work.put(out)
+
+    def grouped(of: DataFrame, groups: DataFrame) -> DataFrame:
+        """``of`` with each member's component, for buckets that hold more than one."""
         named = of.join(groups, of.rep == groups.node, "left").select(
             *of.columns, F.coalesce("component", "rep").alias("group")
         )
-        split = named.groupBy("band", "value").agg(
-            (F.min("group") != F.max("group")).alias("split")
-        ).where("split").select("band", "value")
-        return named.join(split, ["band", "value"], "left_semi")
+        split = named.groupBy(*bucket).agg((F.min("group") != F.max("group")).alias("split")).where("split")
+        return work.put(named.join(split.select(*bucket), bucket, "left_semi"))
 
-    # second round: the member that collides most often is the centre
-    popular = members.groupBy("rep").agg(F.sum("n").alias("met"))
-    left = work.put(divided(members.drop("centre", "n"), groups).join(popular, "rep"))
-    heads = left.groupBy("band", "value").agg(
-        F.max(F.struct("met", "rep", "group")).alias("top")
-    ).select("band", "value", F.col("top.rep").alias("head"), F.col("top.group").alias("head_group"))
-    headed = work.put(left.join(heads, ["band", "value"]))
-    fresh = _untested(
-        headed.where("group <> head_group").select(
-            F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b")
-        ),
-        tested,
-    )
-    tested2 = work.put(fresh)
-    links2 = verified(tested2, documents, similarity, work)
-    all_links = links.union(links2)
-    groups = work.put(components(all_links, work))
-
-    # third round: whatever is still apart meets every member of the other components
-    left = work.put(divided(headed.select("band", "value", "rep", "head"), groups))
-    main = left.where("rep = head").select("band", "value", F.col("group").alias("main")).distinct()
-    tagged = left.join(main, ["band", "value"])
-    stray = tagged.where("group <> main").select("band", "value", F.col("rep").alias("x"), F.col("group").alias("gx"))
-    others = tagged.select("band", "value", F.col("rep").alias("y"), F.col("group").alias("gy"), "main")
-    pairs = stray.join(others, ["band", "value"]).where("gx <> gy and (gy = main or x < y)")
-    fresh = _untested(
-        pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), tested.union(tested2)
+    # first round: four centres of each bucket against all its members
+    some = F.col("nth") <= CENTRES[0]
+    tested = [pairs_of(members.join(centres.where(some), bucket).where((F.col("rep") != F.col("centre")) & similar_size), [])]
+    links = verified(tested[0], _only(sides, tested[0]), similarity, work)
+    groups = work.put(components(links, work))
+    # second round: more centres, against members of other components
+    left = grouped(members, groups)
+    met = left.join(centres.where(~some), bucket)
+    other = met.join(groups.select(F.col("node").alias("centre"), F.col("component").alias("gc")), "centre", "left")
+    apart = (F.col("group") != F.coalesce("gc", "centre")) & similar_size
+    tested.append(pairs_of(other.where(apart), tested))
+    links = links.union(verified(tested[1], _only(sides, tested[1]), similarity, work))
+    groups = work.put(components(links, work))
+    # last round: whoever is still apart meets every member of the other components. Members of
+    # the first centre's component are only met, so pairs inside a component are never made
+    left = grouped(left.drop("group"), groups)
+    main = left.join(centres.where("nth = 1"), bucket).where("rep = centre").select(*bucket, F.col("group").alias("main"))
+    tagged = left.join(main, bucket)
+    stray = tagged.where("group <> main")
+    met = tagged.select(
+        *bucket, "main", F.col("rep").alias("centre"), F.col("n_shingles").alias("n_centre"), F.col("group").alias("gc")
     )
-    links3 = verified(fresh, documents, similarity, work)
-    groups = work.put(components(all_links.union(links3), work))
+    apart = (F.col("group") != F.col("gc")) & ((F.col("gc") == F.col("main")) | (F.col("rep") < F.col("centre")))
+    tested.append(pairs_of(stray.drop("main").join(met, bucket).where(apart & similar_size), tested))
+    links = links.union(verified(tested[2], _only(sides, tested[2]), similarity, work))
+    groups = work.put(components(links, work))
+    work.drop(sides, centres)
 
     # back to all documents: class by signature, component by class
     named = classes.join(groups, classes.rep == groups.node, "left").select(
@@ -329,10 +348,6 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     )
 
 
-def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    return pairs.distinct().join(tested, ["a", "b"], "left_anti")
-
-
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 CHECK = rf"""

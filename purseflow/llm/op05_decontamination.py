@@ -21,16 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bitmap import bit_map, marked
 from .registry import query, table
 from .tables import Workspace
 from .text import IS_ALNUM, blocks, runs, shingles, word_hashes
 
 WINDOW = 10
 SHINGLE = 3
-MAP_BITS = 26
 _REACH = WINDOW - 1
 
 _WINDOWS = "item_id string, words array<long>, shingles array<struct<shingle: long, size: int, place: int>>"
@@ -66,30 +67,7 @@ def windows_of(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_window_rows, _WINDOWS)
 
 
-def _bit_map(keys: DataFrame, bits: int):
-    """A broadcast bit map of the keys' places; its size is fixed, so it never grows with them."""
-    place = F.explode(
-        F.array(*[F.shiftrightunsigned(F.col("shingle"), s).bitwiseAND((1 << bits) - 1) for s in (0, 64 - bits)])
-    )
-    cells = keys.select(place.alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")
-    )
-    cells_map = np.zeros(1 << (bits - 6), np.int64)
-    for cell, mask in cells.toLocalIterator():
-        cells_map[cell] = mask
-    return keys.sparkSession.sparkContext.broadcast(cells_map.view(np.uint64))
-
-
-def _marked(cells: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    low = keys & np.uint64((1 << bits) - 1)
-    out = (cells[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) == 1
-    some = np.flatnonzero(out)
-    high = keys[some] >> np.uint64(64 - bits)
-    out[some] = (cells[high >> np.uint64(6)] >> (high & np.uint64(63))) & np.uint64(1) == 1
-    return out
-
-
-def _rarity(documents: DataFrame, marks, sizes: list[int], bits: int) -> DataFrame:
+def _rarity(documents: DataFrame, marks: Broadcast, sizes: list[int]) -> DataFrame:
     """Occurrences of marked shingles in all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +76,7 @@ def _rarity(documents: DataFrame, marks, sizes: list[int], bits: int) -> DataFra
                 doc, words = word_hashes(data, offsets, IS_ALNUM)
                 for size in sizes:
                     grams, _ = shingles(words, doc, size)
-                    found, n = np.unique(grams[_marked(marks.value, grams, bits)], return_counts=True)
+                    found, n = np.unique(grams[marked(marks.value, grams)], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(found.view(np.int64)), pa.array(np.full(len(found), size, np.int32)), pa.array(n)],
                         names=["shingle", "size", "n"],
@@ -112,7 +90,7 @@ def _rarity(documents: DataFrame, marks, sizes: list[int], bits: int) -> DataFra
     )
 
 
-def _occurrences(documents: DataFrame, marks, sizes: list[int], bits: int) -> DataFrame:
+def _occurrences(documents: DataFrame, marks: Broadcast, sizes: list[int]) -> DataFrame:
     """Every document with its number of words and the places of marked shingles.
 
     ``around`` holds the hashes of the words from 9 before to 9 after the place, with zeros
@@ -132,7 +110,7 @@ def _occurrences(documents: DataFrame, marks, sizes: list[int], bits: int) -> Da
                 rows: list[list] = [[] for _ in range(n_docs)]
                 for size in sizes:
                     grams, place = shingles(words, doc, size)
-                    hit = np.flatnonzero(_marked(marks.value, grams, bits))
+                    hit = np.flatnonzero(marked(marks.value, grams))
                     for gram, at in zip(grams[hit].view(np.int64).tolist(), place[hit].tolist()):
                         own = doc[at]
                         low, high = bounds[own], bounds[own + 1]
@@ -166,7 +144,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         windows.select(F.explode("shingles").alias("s")).select("s.shingle", "s.size").distinct()
     )
     sizes = sorted(r[0] for r in tokens.select("size").distinct().collect())
-    counts = work.put(_rarity(docs, _bit_map(tokens, MAP_BITS), sizes, MAP_BITS))
+    counts = work.put(_rarity(docs, bit_map(tokens, "shingle"), sizes))
     ranked = (
         windows.withColumn("window", F.monotonically_increasing_id())
         .select("window", "item_id", "words", F.posexplode("shingles").alias("k", "s"))
@@ -186,7 +164,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.collect_set("item_id").alias("items")
         )
     )
-    found = work.put(_occurrences(docs, _bit_map(prefixes, MAP_BITS), sizes, MAP_BITS))
+    found = work.put(_occurrences(docs, bit_map(prefixes, "shingle"), sizes))
     start = F.col("at") - F.col("place")
     length = F.size("words").cast("long")
     hits = (
