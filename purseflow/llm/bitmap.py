@@ -23,8 +23,8 @@ def bit_map(keys: DataFrame, column: str, bits: int = BITS) -> Broadcast:
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask"))
     )
     out = np.zeros(1 << (bits - 6), np.int64)
-    for cell, mask in cells.toLocalIterator():  # at most 2^(bits - 6) rows
-        out[cell] = mask
+    found = cells.toArrow()  # at most 2^(bits - 6) rows
+    out[found.column("cell").to_numpy()] = found.column("mask").to_numpy()
     return keys.sparkSession.sparkContext.broadcast(out.view(np.uint64))
 
 

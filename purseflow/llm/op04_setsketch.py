@@ -10,9 +10,10 @@ sets decide the rest.
 Nothing is emitted for every pair of a group:
 
 * documents with equal sets are one class, found by a map-side aggregated signature;
-* in a band bucket every member is first compared with a few centres, then with more of
-  them, and only members that are still in different components are compared with one
-  another. Pairs inside one component, or of too different sizes, are never made.
+* in a band bucket every member is first compared with a few centres, then, where a bucket
+  still holds several components, with more of them, which is all of a small bucket. What
+  is left of large buckets goes through an exact prefix filter. Pairs inside one component,
+  or of too different sizes, are never made.
 
 The bands miss a pair of similarity 0.75 with a probability of 5e-6 (32 bands of 4).
 """
@@ -38,6 +39,7 @@ SIMILARITY = 0.75
 REGISTERS = 128
 BAND = 4
 CENTRES = (4, 32)  # members of a bucket that all others meet in the first and in the second round
+COUNT_BITS = 18  # cells of the table of shingle counts that orders prefixes
 _LOG_BASE = np.log(1.001)
 _RATE = 20.0
 _TOP = 65_535
@@ -243,6 +245,73 @@ def _only(sides: DataFrame, pairs: DataFrame) -> DataFrame:
     return sides.withColumn("key", F.xxhash64("id")).mapInArrow(rows, "id long, regs binary, members binary")
 
 
+def _untested(pairs: DataFrame, tested: list[DataFrame], work: Workspace) -> DataFrame:
+    out = pairs.distinct()
+    for old in tested:
+        out = out.join(old, ["a", "b"], "left_anti")
+    return work.put(out)
+
+
+def _prefix_pairs(sides: DataFrame, similarity: float, work: Workspace) -> DataFrame:
+    """Pairs ``a, b`` of different groups that share a shingle of both prefixes.
+
+    With the shingles of all sets in one order, sets that are similar enough share one of their
+    first ``n - ceil(similarity * n) + 1`` shingles. Rare shingles come first; a table of counts
+    of fixed size gives the order, and any order is right.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = np.zeros(1 << COUNT_BITS, np.int64)
+            for members in batch.column("members"):
+                cells = np.frombuffer(members.as_buffer(), np.uint64) >> np.uint64(64 - COUNT_BITS)
+                np.add.at(total, cells.astype(np.int64), 1)
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["cell", "n"])
+
+    counted = sides.select("members").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << COUNT_BITS, np.int64)  # bounds what the driver gets
+    counts[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    shared = sides.sparkSession.sparkContext.broadcast(counts)
+    hundredths = round(similarity * 100)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, groups = batch.column("id").to_pylist(), batch.column("group").to_pylist()
+            tokens, sizes = [np.zeros(0, np.uint64)], []
+            kept: list[int] = []
+            for members in batch.column("members"):
+                own = np.frombuffer(members.as_buffer(), np.uint64)
+                rare = np.lexsort((own, shared.value[(own >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]))
+                take = len(own) - -(-len(own) * hundredths // 100) + 1
+                tokens.append(own[rare[:take]])
+                kept.append(take)
+                sizes.append(len(own))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(tokens).view(np.int64)),
+                    pa.array(np.repeat(np.array(ids, np.int64), kept)),
+                    pa.array(np.repeat(np.array(groups, np.int64), kept)),
+                    pa.array(np.repeat(np.array(sizes, np.int64), kept)),
+                ],
+                names=["token", "id", "group", "n"],
+            )
+
+    rows = work.put(sides.select("id", "group", "members").mapInArrow(prefixes, "token long, id long, group long, n long"))
+    per_group = rows.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n"))
+    split = (
+        per_group.groupBy("token")
+        .agg(F.max(F.struct("n", "group")).alias("top"), F.count(F.lit(1)).alias("groups"))
+        .where("groups > 1")
+        .select("token", F.col("top.group").alias("main"))
+    )
+    named = rows.join(split, "token")
+    x = named.where("group <> main").select("token", F.col("id").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx"))
+    y = named.select("token", "main", F.col("id").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny"))
+    apart = "gx <> gy and (gy = main or x < y)"
+    close = 100 * F.least("nx", "ny") >= hundredths * F.greatest("nx", "ny")
+    return x.join(y, "token").where(apart).where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``.
 
@@ -291,10 +360,8 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     )
 
     def pairs_of(candidates: DataFrame, tested: list[DataFrame]) -> DataFrame:
-        out = candidates.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-        for old in tested:
-            out = out.join(old, ["a", "b"], "left_anti")
-        return work.put(out)
+        pairs = candidates.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+        return _untested(pairs, tested, work)
 
     def grouped(of: DataFrame, groups: DataFrame) -> DataFrame:
         """``of`` with each member's component, for buckets that hold more than one."""
@@ -317,17 +384,12 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     tested.append(pairs_of(other.where(apart), tested))
     links = links.union(verified(tested[1], _only(sides, tested[1]), similarity, work))
     groups = work.put(components(links, work))
-    # last round: whoever is still apart meets every member of the other components. Members of
-    # the first centre's component are only met, so pairs inside a component are never made
+    # last round: buckets with more members than centres that still hold several components. An
+    # exact prefix filter finds all their similar pairs, however large the buckets are
     left = grouped(left.drop("group"), groups)
-    main = left.join(centres.where("nth = 1"), bucket).where("rep = centre").select(*bucket, F.col("group").alias("main"))
-    tagged = left.join(main, bucket)
-    stray = tagged.where("group <> main")
-    met = tagged.select(
-        *bucket, "main", F.col("rep").alias("centre"), F.col("n_shingles").alias("n_centre"), F.col("group").alias("gc")
-    )
-    apart = (F.col("group") != F.col("gc")) & ((F.col("gc") == F.col("main")) | (F.col("rep") < F.col("centre")))
-    tested.append(pairs_of(stray.drop("main").join(met, bucket).where(apart & similar_size), tested))
+    large = left.join(sizes.where(F.col("n") > CENTRES[1]), bucket, "left_semi")
+    apart = large.select(F.col("rep").alias("id"), "group").distinct()
+    tested.append(_untested(_prefix_pairs(work.put(sides.join(apart, "id")), similarity, work), tested, work))
     links = links.union(verified(tested[2], _only(sides, tested[2]), similarity, work))
     groups = work.put(components(links, work))
     work.drop(sides, centres)
