@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -37,6 +37,8 @@ IS_ALNUM = np.array(
     [0x30 <= _lower(b) <= 0x39 or 0x61 <= _lower(b) <= 0x7A or b >= 0x80 for b in range(256)]
 )
 BYTE_VALUE = mix((np.array([_lower(b) for b in range(256)], np.uint64) + np.uint64(1)) * _STEP)
+# every byte has its own value: no two are equal to a tokenizer or a byte-wise comparison
+EXACT_VALUE = mix((np.arange(256, dtype=np.uint64) + np.uint64(257)) * _STEP)
 PLACE = mix((np.arange(1, 65, dtype=np.uint64)) * _STEP) | np.uint64(1)
 
 

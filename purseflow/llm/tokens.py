@@ -17,9 +17,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .text import blocks, mix, prefix_sums, span_hashes
+from .text import EXACT_VALUE, blocks, prefix_sums, span_hashes
 
-KEPT_PIECES = 3_000_000
+KEPT_PIECES = 1_500_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -34,8 +34,6 @@ _SOLID[0x21:0x7F] = True
 # first bytes of characters that may be spaces, and control characters some call spaces
 _DOUBTFUL = np.zeros(256, bool)
 _DOUBTFUL[[0xC2, 0xE1, 0xE2, 0xE3, 0x1C, 0x1D, 0x1E, 0x1F]] = True
-# every byte has its own value here: case matters to a tokenizer
-_VALUES = mix((np.arange(256, dtype=np.uint64) + np.uint64(257)) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = _SPACE | _DOUBTFUL | (np.arange(256) < 0x20)
 
 
@@ -58,7 +56,7 @@ class Encoder:
 
     def _clear(self, slots: int) -> None:
         self.keys = np.zeros(slots, np.uint64)
-        self.entry = np.zeros(slots, np.int64)
+        self.entry = np.zeros(slots, np.int32)
         self.begin, self.length, self.n = np.zeros(1024, np.int64), np.zeros(1024, np.int32), 0
         self.ids, self.n_ids = np.zeros(4096, np.uint32), 0
 
@@ -100,8 +98,8 @@ class Encoder:
             old, entries = self.keys[self.keys != 0], self.entry[self.keys != 0]
             slots = len(self.keys)
             while 2 * self.n > slots:
-                slots *= 4
-            self.keys, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int64)
+                slots *= 2
+            self.keys, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
             self._place(old, entries)
         self._place(keys, new)
 
@@ -147,7 +145,7 @@ class Encoder:
         begins[filled] = True
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data))
-        keys = span_hashes(prefix_sums(data, _VALUES), start, end)
+        keys = span_hashes(prefix_sums(data, EXACT_VALUE), start, end)
         keys[keys == 0] = 1
         entry = self._find(keys)
         missing = np.flatnonzero(entry < 0)
