@@ -15,6 +15,7 @@ from purseflow.llm.op03_toxicity import score, train
 from purseflow.llm.op04_setsketch import near_duplicates
 from purseflow.llm.op05_decontamination import decontaminate
 from purseflow.llm.op10_line_runs import dedup_lines
+from purseflow.llm.registry import modest_batches
 from purseflow.session import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,12 +23,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar does not call toxic (score below 0.5)."""
+    modest_batches(spark)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs.select(*COLUMNS), model).where("score < 0.5").drop("score")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of line runs; one that loses every worded line goes."""
+    modest_batches(spark)
     done = dedup_lines(docs.select(*COLUMNS))
     changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return (
@@ -39,6 +42,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates, the one with the smallest doc_id."""
+    modest_batches(spark)
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     # dropped documents grow with the input, so they are not broadcast at any size
     return docs.select(*COLUMNS).join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
@@ -46,11 +50,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
+    modest_batches(spark)
     return decontaminate(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048 ids, as pieces of the documents that are left."""
+    modest_batches(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

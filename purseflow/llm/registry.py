@@ -14,7 +14,11 @@ CHECKS: dict[str, str] = {}
 
 def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
     def register(func: Query) -> Query:
-        QUERIES[name] = func
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            modest_batches(spark)
+            return func(spark, sf_dir)
+
+        QUERIES[name] = run
         if check is not None:
             CHECKS[name] = check
         return func
@@ -22,5 +26,15 @@ def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Texts are long: a thousand rows are enough for one exchange with a Python worker.
+
+    A setting that somebody made is left alone.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

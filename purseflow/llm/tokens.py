@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from .text import EXACT_VALUE, blocks, prefix_sums, span_hashes
 
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
