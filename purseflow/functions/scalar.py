@@ -122,7 +122,12 @@ def row_checksum(txn_id: Column, amount: Column) -> Column:
 
 def stable_hash(key: Column) -> Column:
     """A non-negative hash that other engines reproduce: 60 bits of the key's MD5."""
-    return F.conv(F.substring(F.md5(key.cast("string")), 1, 15), 16, 10).cast("bigint")
+    return text_hash(key.cast("string"))
+
+
+def text_hash(text: Column) -> Column:
+    """60 bits of the text's MD5, which other engines can compute as well."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def bucket(key: Column, buckets: int) -> Column:

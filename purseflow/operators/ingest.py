@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from .ordering import positions
-from .rules import gate_condition, mark_repeats, strict_amount
+from .ordering import head_per_group, positions
+from .rules import gate_condition, strict_amount
 
 # Fixed value: rows per ingestion batch.
 BATCH_ROWS = 5_000
@@ -50,11 +50,14 @@ def numbered_batches(raw: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
 
     Rows read in source order bring their ``pos``; others are put in order by ``ordinal``.
     """
+    return source_batches(raw, rows).withColumn("ok", gate_condition())
+
+
+def source_batches(raw: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """Add ``batch_id`` alone."""
     placed = raw if "pos" in raw.columns else positions(raw, [F.col("ordinal")], name="batches")
     return placed.select(
-        *[c for c in raw.columns if c != "pos"],
-        (F.floor(F.col("pos") / rows) + 1).alias("batch_id"),
-        gate_condition().alias("ok"),
+        *[c for c in raw.columns if c != "pos"], (F.floor(F.col("pos") / rows) + 1).alias("batch_id")
     )
 
 
@@ -70,7 +73,7 @@ def batch_log(batches: DataFrame) -> DataFrame:
 def ingested(batches: DataFrame) -> DataFrame:
     """The loaded table: valid rows, first write per id, with batch number and checksum.
 
-    Only ids and ordinals are grouped; whole rows meet just the ids that repeat.
+    Every map task passes on one row per id, so repeats cost nothing beyond it.
     """
     rows = batches.where("ok").select(
         "ordinal",
@@ -85,4 +88,4 @@ def ingested(batches: DataFrame) -> DataFrame:
         "batch_id",
         fn.row_checksum(F.col("txn_id"), F.col("amount")).alias("checksum"),
     )
-    return mark_repeats(rows, "txn_id", "ordinal").where(~F.col("is_repeat")).drop("is_repeat")
+    return head_per_group(rows, ["txn_id"], [F.col("ordinal")], 1).drop("nth")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .joins import join_group_stats
+from .joins import join_group_stats, join_on_groups
 
 _PART_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -147,8 +147,8 @@ def rolling_sum(
     )
     last = Window.partitionBy(by, "part").orderBy(F.col("local").desc())
     tails = (
-        spot.join(F.broadcast(crossing), by, "left_semi")
-        .select(by, "part", "local", F.coalesce(F.col(value), F.lit(0)).cast(spot.schema[value].dataType).alias("tail_value"))
+        join_on_groups(spot, F.broadcast(crossing), [by], "left_semi")
+        .select(by, "part", "local", F.struct(F.col(value).alias("v")).alias("tail_value"))
         .withColumn("back", F.row_number().over(last))
         .where(F.col("back") <= reach)
     )
@@ -162,15 +162,17 @@ def rolling_sum(
         .select(by, "part", "before")
     )
     need = F.greatest(F.lit(0), F.least(F.size("before"), F.lit(window) - F.col("nth")))
+    # the list holds structs, since a list of plain values would lose the NULLs and their places
+    reached = F.slice("before", F.size("before") - need + 1, need)
+    zero = F.lit(0).cast(spot.schema[value].dataType)
     carried = F.aggregate(
-        F.slice("before", F.size("before") - need + 1, need),
-        F.lit(0).cast(spot.schema[value].dataType),
-        lambda a, x: (a + x).cast(spot.schema[value].dataType),
+        reached, zero, lambda a, x: (a + F.coalesce(x["v"], zero)).cast(spot.schema[value].dataType)
     )
-    total = F.col("own") + F.when(need > 0, carried).otherwise(F.lit(0))
-    return (
-        own.join(F.broadcast(carry), [by, "part"], "left")  # at most one row per range
-        .select(*df.columns, F.when(F.col("before").isNull(), F.col("own")).otherwise(total).alias(out))
+    none = F.col("own").isNull() & ~F.exists(reached, lambda x: x["v"].isNotNull())
+    total = F.when(~none, F.coalesce(F.col("own"), F.lit(0)) + carried)
+    joined = join_on_groups(own, F.broadcast(carry), [by, "part"], "left")  # at most one row per range
+    return joined.select(
+        *df.columns, F.when(F.col("before").isNull() | (need == 0), F.col("own")).otherwise(total).alias(out)
     )
 
 

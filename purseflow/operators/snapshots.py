@@ -20,7 +20,9 @@ class VersionedTable:
         self.schema = schema
         self.rows_path = f"{path}/rows"
         self.commits_path = f"{path}/commits"
+        self.freed_path = f"{path}/freed"
         self._empty(COMMITS).write.mode("append").parquet(self.commits_path)
+        self._empty("version int").write.mode("append").parquet(self.freed_path)
         self._latest: int | None = None  # known after the first look, as there is one writer
 
     def _empty(self, schema: str) -> DataFrame:
@@ -63,9 +65,18 @@ class VersionedTable:
     def as_of(self, version: int | None = None) -> DataFrame:
         """The rows visible at a version; only its partitions are read."""
         at = self.latest() if version is None else version
+        if not 0 <= at <= self.latest() and version is not None:
+            raise ValueError(f"version {version} was never committed")
+        gone = self._freed().where(F.col("version").between(self._base(at), at))
+        if gone.limit(1).count():
+            raise ValueError(f"version {at} is no longer retained")
         stored = self.spark.read.schema(f"{self.schema}, version int").parquet(self.rows_path)
         return stored.where(F.col("version").between(self._base(at), at)).drop("version")
 
+    def _freed(self) -> DataFrame:
+        """The versions whose rows a clean-up has freed."""
+        return self.spark.read.schema("version int").parquet(self.freed_path)
+
     def update(self, predicate: Column, changes: dict[str, Column]) -> int:
         """Copy-on-write: a new version in which the matching rows carry the changes."""
         hit = F.coalesce(predicate, F.lit(False))
@@ -100,10 +111,14 @@ class VersionedTable:
         version still shows it. The freed folders are rewritten without rows.
         """
         keep_from = self._base(max(0, self.latest() - retain + 1))
-        freed = [r.version for r in self.commits().where(F.col("version") < keep_from).select("version").collect()]
-        for version in sorted(freed):  # a handful of commits, not data
+        old = self.commits().where(F.col("version") < keep_from).select("version")
+        freed = sorted(r.version for r in old.join(self._freed(), "version", "left_anti").collect())
+        # noted first: a reader is refused before any row is gone
+        noted = self.spark.createDataFrame([(v,) for v in freed], "version int")
+        noted.coalesce(1).write.mode("append").parquet(self.freed_path)
+        for version in freed:  # a handful of commits, not data
             self._empty(self.schema).write.mode("overwrite").parquet(f"{self.rows_path}/version={version}")
-        return sorted(freed)
+        return freed
 
     def stored_rows(self) -> DataFrame:
         """Rows still held per stored version."""

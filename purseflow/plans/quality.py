@@ -45,8 +45,8 @@ tidy AS (SELECT *, {case_list(
     ("'duplicate txn_id'", "nth > 1"),
     ("'invalid amount'", "amount IS NULL"),
     ("'non-positive amount'", "amount <= 0"),
-    ("'unknown status ''' || status || ''''", f"status NOT IN ({STATUS_LIST})"),
-    ("'unknown category ''' || category || ''''", f"category NOT IN ({CATEGORY_LIST})"),
+    ("'unknown status ''' || coalesce(status, '') || ''''", f"coalesce(status NOT IN ({STATUS_LIST}), true)"),
+    ("'unknown category ''' || coalesce(category, '') || ''''", f"coalesce(category NOT IN ({CATEGORY_LIST}), true)"),
 )} AS reasons FROM tidy1)"""
 
 
@@ -66,12 +66,16 @@ def clean_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @report(
     "clean_rejects",
-    with_(t.RAW, TIDY, body="SELECT ordinal, txn_id, reasons FROM tidy WHERE reasons <> ''"),
+    with_(t.RAW, TIDY, body=f"""SELECT ordinal, txn_id, user_id, merchant, category, {dbl('amount')} AS amount, status, wallet_type,
+    "timestamp", "date", reasons FROM tidy WHERE reasons <> ''"""),
 )
 def clean_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole rejected rows, as tidied, with all their reasons."""
     tidy = rules.tidy(t.raw(spark, folder))
-    return tidy.where(F.size("reasons") > 0).select(
-        "ordinal", "txn_id", F.array_join("reasons", "; ").alias("reasons")
+    return (
+        tidy.where(F.size("reasons") > 0)
+        .withColumn("amount", fn.dbl(F.col("amount")))
+        .select("ordinal", *RAW_FIELDS, F.array_join("reasons", "; ").alias("reasons"))
     )
 
 
@@ -79,12 +83,12 @@ def clean_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 OUTSIDE = f"{NUM} IS NOT NULL AND NOT ({NUM} BETWEEN 1 AND 1000000)"
 VALIDATED = f"""validated AS (SELECT ordinal, {case_list(
-    ("'txn_id must match TXNxxxxxxxx'", r"NOT regexp_matches(txn_id, '^TXN\d{8}$')"),
-    ("'user_id must match Uxxxx'", r"NOT regexp_matches(user_id, '^U\d{4}$')"),
+    ("'txn_id must match TXNxxxxxxxx'", r"NOT regexp_matches(txn_id, '^TXN\d{8,}$')"),
+    ("'user_id must match Uxxxx'", r"NOT regexp_matches(user_id, '^U\d{4,}$')"),
     ("'amount is not numeric'", f"{NUM} IS NULL"),
     ("'amount ' || CAST(TRY_CAST(amount AS DOUBLE) AS VARCHAR) || ' outside [1.0, 1000000.0]'", OUTSIDE),
-    ("'unknown status: ' || status", f"status NOT IN ({STATUS_LIST})"),
-    ("'unknown category: ' || category", f"category NOT IN ({CATEGORY_LIST})"),
+    ("'unknown status: ' || coalesce(status, '')", f"coalesce(status NOT IN ({STATUS_LIST}), true)"),
+    ("'unknown category: ' || coalesce(category, '')", f"coalesce(category NOT IN ({CATEGORY_LIST}), true)"),
     ("'timestamp must be YYYY-MM-DD HH:MM:SS'",
      "try_strptime(\"timestamp\", '%Y-%m-%d %H:%M:%S') IS NULL"),
 )} AS errors FROM raw)"""
@@ -127,12 +131,12 @@ def split_valid_invalid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CONSTRAINED = f"""constrained AS (SELECT *, list_filter([
-    CASE WHEN NOT regexp_matches(txn_id, '^TXN\\d{{8}}$') THEN 'bad_txn_id' END,
-    CASE WHEN NOT regexp_matches(user_id, '^U\\d{{4}}$') THEN 'bad_user_id' END,
+    CASE WHEN NOT regexp_matches(txn_id, '^TXN\\d{{8,}}$') THEN 'bad_txn_id' END,
+    CASE WHEN NOT regexp_matches(user_id, '^U\\d{{4,}}$') THEN 'bad_user_id' END,
     CASE WHEN {NUM} IS NULL THEN 'amount_type' END,
     CASE WHEN {OUTSIDE} THEN 'amount_range' END,
-    CASE WHEN status NOT IN ({STATUS_LIST}) THEN 'bad_status' END,
-    CASE WHEN category NOT IN ({CATEGORY_LIST}) THEN 'bad_category' END], lambda x: x IS NOT NULL) AS errors
+    CASE WHEN coalesce(status NOT IN ({STATUS_LIST}), true) THEN 'bad_status' END,
+    CASE WHEN coalesce(category NOT IN ({CATEGORY_LIST}), true) THEN 'bad_category' END], lambda x: x IS NOT NULL) AS errors
   FROM raw)"""
 
 

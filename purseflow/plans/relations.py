@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from ..operators import joins, ordering
+from ..operators import ingest, joins, ordering
 from ..session import stage
 from ..sources import tables as t
 from ..sources import views
@@ -645,23 +645,29 @@ def row_checksum(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-CHECKSUM_ROWS = 100
-
-
 @report(
     "batch_checksum",
-    with_(t.RAW, body=f"""SELECT COUNT(*) AS n_ids, md5(string_agg(txn_id, '' ORDER BY ordinal)) AS checksum
-    FROM (SELECT ordinal, txn_id FROM raw ORDER BY ordinal LIMIT {CHECKSUM_ROWS})"""),
+    with_(t.RAW, f"""numbered AS (SELECT (ROW_NUMBER() OVER (ORDER BY ordinal) - 1) // {ingest.BATCH_ROWS} + 1 AS batch_id,
+    CAST('0x' || substr(md5(CAST(ordinal AS VARCHAR) || ':' || txn_id || ':' || coalesce(amount, '') || ':'
+      || coalesce(status, '')), 1, 15) AS BIGINT) AS h FROM raw)""",
+          body="""SELECT batch_id, COUNT(*) AS n_rows, bit_xor(h) AS row_xor, CAST(SUM(h) AS VARCHAR) AS row_sum
+    FROM numbered GROUP BY batch_id"""),
 )
 def batch_checksum(spark: SparkSession, folder: str) -> DataFrame:
-    """Audit trail: the digest of the first ids in source order."""
-    first = t.raw(spark, folder).select("ordinal", "txn_id").orderBy("ordinal").limit(CHECKSUM_ROWS)
-    ids = F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "txn_id"))), lambda x: x.txn_id)
-    return first.agg(F.count("*").alias("n_ids"), F.md5(F.array_join(ids, "")).alias("checksum"))
+    """Audit trail: an order-free digest of every row of every batch."""
+    text = F.concat_ws(
+        ":", F.col("ordinal").cast("string"), "txn_id", F.coalesce("amount", F.lit("")), F.coalesce("status", F.lit(""))
+    )
+    digested = ingest.source_batches(t.raw(spark, folder, placed=True)).withColumn("h", fn.text_hash(text))
+    return digested.groupBy("batch_id").agg(
+        F.count("*").alias("n_rows"),
+        F.bit_xor("h").alias("row_xor"),
+        F.sum(F.col("h").cast("decimal(20,0)")).cast("decimal(38,0)").cast("string").alias("row_sum"),
+    )
 
 
 PAYLOAD_SQL = """'{"txn_id":"' || txn_id || '","user_id":"' || user_id || '","merchant":"' || merchant
-    || '","amount":"' || amount || '","currency":"INR","status":"' || status || '"}'"""
+    || '","amount":"' || amount || '","currency":"INR"' || CASE WHEN status IS NULL THEN '' ELSE ',"status":"' || status || '"' END || '}'"""
 
 
 @report(

@@ -92,7 +92,7 @@ def two_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def ingest_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     """The table after two loads in which the first write of a key wins."""
     early, late = two_loads(spark, folder)
-    stored = ingest.first_per_key(early, LINE_KEY, LINE_REST)
+    stored = stage(ingest.first_per_key(early, LINE_KEY, LINE_REST), "stored_lines")
     return stored.unionByName(ingest.insert_ignore(stored, late, LINE_KEY, LINE_REST))
 
 
@@ -445,14 +445,16 @@ def scan_multi_file(spark: SparkSession, folder: str) -> DataFrame:
 
 @report(
     "parse_app_log",
-    with_(t.RAW, body=f"""SELECT txn_id, CAST("timestamp" AS TIMESTAMP) AS ts, {dbl(f'CAST({NUM} AS DECIMAL(18,2))')} AS amount, status
-    FROM raw WHERE "timestamp" <> 'not-a-date' AND {NUM} IS NOT NULL AND status NOT LIKE ' %'"""),
+    with_(t.RAW, body=f"""SELECT txn_id, CAST("timestamp" AS TIMESTAMP) AS ts, {dbl(f'CAST({NUM} AS DECIMAL(18,2))')} AS amount,
+    coalesce(status, 'UNKNOWN') AS status
+    FROM raw WHERE "timestamp" <> 'not-a-date' AND {NUM} IS NOT NULL AND coalesce(status, 'UNKNOWN') NOT LIKE ' %'"""),
 )
 def parse_app_log(spark: SparkSession, folder: str) -> DataFrame:
     """Log lines written as plain text and parsed back; malformed lines are left out."""
     path = fresh_path(spark, "app_log")
     line = F.format_string(
-        "[%s] %s PROCESSED amount=%s status=%s", F.col("timestamp"), F.col("txn_id"), F.col("amount"), F.col("status")
+        "[%s] %s PROCESSED amount=%s status=%s", F.col("timestamp"), F.col("txn_id"), F.col("amount"),
+        F.coalesce("status", F.lit("UNKNOWN")),
     )
     t.raw(spark, folder).select(line.alias("value")).write.text(path)
     parsed = files.read_log(spark, path).where("ts IS NOT NULL AND amount IS NOT NULL")
@@ -521,4 +523,4 @@ BYTES = " + ".join(f"CAST('0x' || substr(d, {2 * i + 1}, 2) AS BIGINT)" for i in
           (GREATEST(cents * 256 + ({BYTES} - 1530) * 5000, 25600) + 128) >> 8 AS cents FROM copies"""),
 )
 def replicate_11x(spark: SparkSession, folder: str) -> DataFrame:
-    return synthetic.replicate(t.txn(spark, folder, placed=True).select("txn_id", "amount", "pos"))
+    return synthetic.replicate(t.txn(spark, folder, placed=True).select("txn_id", "amount", "pos"), scan=t.read(spark, folder, "orders"))

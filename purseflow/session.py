@@ -74,11 +74,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return write_table(df, fresh_path(df.sparkSession, name))
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores over all of them.
+def widen(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Spread rows over all cores if the ``scan`` they come from has fewer splits than cores.
 
     A small file with one row group would keep a single core busy. A large table has
-    more splits than cores and is left as it is, without a shuffle.
+    more splits than cores and is left as it is, without a shuffle. ``scan`` is the plain
+    read below ``df``: counting its splits lists files but starts no job.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df

@@ -60,16 +60,17 @@ def byte_sum(digest: Column) -> Column:
     return total
 
 
-def replicate(rows: DataFrame, copies: int = COPIES) -> DataFrame:
+def replicate(rows: DataFrame, copies: int = COPIES, scan: DataFrame | None = None) -> DataFrame:
     """Every row ``copies`` times, numbered anew, with clipped noise of deviation 50 on amounts.
 
-    The copies are made in place by an explode. The new number is copy * n + position, so the
+    The copies are made in place by an explode; a small ``scan`` below the rows is spread first. The new number is copy * n + position, so the
     ids run from 1 without gaps. The noise is 50 * (sum of 12 bytes - 1530) / 256 and is kept
     in whole numbers: 1/256 cents.
     """
     placed = rows if "pos" in rows.columns else positions(rows, [F.col("txn_id")], name="replicate")
     n = rows.agg(F.count("*")).scalar()
-    spread = widen(placed).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    wide = placed if scan is None else widen(placed, scan)
+    spread = wide.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     noise = byte_sum(F.md5(F.concat_ws(":", F.col("copy").cast("string"), F.col("txn_id").cast("string")))) - 1530
     fine = (F.col("amount") * 100).cast("bigint") * 256 + noise * 5000
     cents = F.shiftright(F.greatest(fine, F.lit(100 * 256)) + 128, 8)

@@ -18,7 +18,6 @@ WATERMARK = "30 seconds"
 TUMBLING = "5 minutes"
 VELOCITY_WINDOW = "1 minute"
 ALERT_STATUS = "FAILED"
-TIMEOUT_SECONDS = 3_600
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -89,12 +88,14 @@ def run_to_table(
     mode: str = "append",
     per_batch=None,
     path: str | None = None,
+    timeout_seconds: int | None = None,
 ) -> str:
     """Run until the available input is used up, into folders keyed by batch number.
 
     A batch that is repeated after a failure overwrites its own folder, and the
     checkpoint remembers finished batches, so every row counts once. ``per_batch`` may
-    reduce a batch before it is written. Returns the table's path.
+    reduce a batch before it is written. Without ``timeout_seconds`` a long backfill may take
+    its time. Returns the table's path.
     """
     spark = stream.sparkSession
     path = path or fresh_path(spark, name)
@@ -110,9 +111,11 @@ def run_to_table(
         .trigger(availableNow=True)
         .start()
     )
-    if not query.awaitTermination(TIMEOUT_SECONDS):
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
-        raise TimeoutError(f"stream {name} did not finish in {TIMEOUT_SECONDS} seconds")
+        raise TimeoutError(f"stream {name} did not finish in {timeout_seconds} seconds")
     return f"{path}/table"
 
 

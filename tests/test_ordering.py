@@ -152,3 +152,21 @@ def plan(df) -> str:
     with contextlib.redirect_stdout(out):
         df.explain()
     return out.getvalue()
+
+
+def test_rolling_sum_of_nulls_over_several_ranges(spark):
+    rows = [
+        (i, None if i % 3 == 0 else "ab"[i % 2], None if i % 5 else i) for i in range(4_000)
+    ]
+    df = spark.createDataFrame(rows, "id bigint, grp string, v bigint").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rolled = ordering.rolling_sum(df, "grp", ["id"], "v", 3)
+        got = {r.id: r.rolling for r in rolled.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    df.createOrReplaceTempView("rolling_rows")
+    want = spark.sql(
+        "SELECT id, SUM(v) OVER (PARTITION BY grp ORDER BY id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS s FROM rolling_rows"
+    )
+    assert got == {r.id: r.s for r in want.collect()}

@@ -142,3 +142,20 @@ def test_constant_column_scales_to_zero(spark):
         assert {r.z for r in relations.norm_zscore(spark, "").collect()} == {0.0}
     finally:
         tables.ev = original
+
+
+def test_missing_labels_are_rejected_with_their_message(spark):
+    one = table(spark, row(1, category=None, status=None))
+    assert rules.check(one, rules.validator_rules()).first().errors == ["unknown status: ", "unknown category: "]
+    assert rules.tidy(one).first().reasons == ["unknown status ''", "unknown category ''"]
+    assert rules.check(one, rules.process_rules()).first().errors == ["bad_status", "bad_category"]
+
+
+def test_all_six_messages_of_an_empty_row(spark):
+    empty = table(spark, (1, None, None, None, None, None, None, None, None, None))
+    assert len(rules.check(empty, rules.validator_rules()).first().errors) == 6
+
+
+def test_ids_that_outgrow_their_width_are_well_formed(spark):
+    wide = table(spark, row(1, txn_id="TXN123456789", user_id="U12345"))
+    assert rules.check(wide, rules.constraint_rules()).first().errors == []

@@ -51,6 +51,10 @@ def test_vacuum_keeps_live_appends(spark, versioned):
     versioned.write(table(spark, (10, "o")), "append")
     assert versioned.vacuum(retain=2) == [0, 1, 2, 3]
     assert contents(versioned.as_of()) == [(9, "n"), (10, "o")]
+    assert versioned.vacuum(retain=2) == []  # nothing is freed twice
+    for gone in (0, 99, -1):
+        with pytest.raises(ValueError):
+            versioned.as_of(gone)
     assert {r.version for r in versioned.stored_rows().collect()} == {4, 5}
 
 
@@ -193,7 +197,10 @@ def test_batch_run_writes_every_layer(spark, folder):
     assert layer("bronze").count() == metrics.records_in == 1_500
     assert layer("silver").count() == metrics.records_out
     assert layer("rejects").count() == metrics.rejected > 0
-    assert layer("lake").select("p_year", "p_month").distinct().count() == batch.LAKE_MONTHS
+    months = layer("silver").select("month").distinct().count()
+    assert layer("lake").select("p_year", "p_month").distinct().count() == months > 6
+    one = layer("lake").where("p_year = 1996 AND p_month = 3")
+    assert "p_month" in one._jdf.queryExecution().toString() and one.count() > 0
     assert layer("gold_monthly").agg(F.sum("txns")).first()[0] == metrics.records_out
     assert spark.read.json(f"{out}/summary").first().records_in == 1_500
 
