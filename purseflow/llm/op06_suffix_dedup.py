@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .bitmap import bit_map, marked
 from .registry import query, table
-from .tables import Workspace
+from .tables import Workspace, steady
 from .text import EXACT_VALUE, PLACE, blocks, mix, prefix_sums, span_hashes
 
 LENGTH = 100
@@ -159,7 +159,7 @@ def _windows(documents: DataFrame, contested: DataFrame, length: int, gram: int)
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``row, spans`` (struct a, b in bytes, unsorted, overlapping) of documents with repeated bytes."""
+    """``row, spans`` (struct a, b in bytes, unsorted, overlapping) of ``steady`` documents with repeated bytes."""
     work = Workspace(documents, "suffix_dedup")
     docs = _numbered(documents)
     again = (
@@ -228,6 +228,7 @@ def dedup_substrings(
     ``kept`` is the rest as bytes, as a cut may fall inside a character. Null and empty texts
     have no bytes. An empty table gives no rows; other columns are ignored.
     """
+    documents = steady(documents.select("doc_id", "text"), "suffix_dedup_input")
     spans = repeated_spans(documents, length, gram).withColumnRenamed("row", "_row")
     docs = _numbered(documents)
     # the spans grow with the input, so they are not broadcast at any size

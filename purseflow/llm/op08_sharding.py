@@ -105,6 +105,8 @@ def _even_cuts(groups: DataFrame, capacity: int, shards: int, total: int, larges
     first possible one; the group end nearest to the even share between them is taken.
     """
     shares = [total * k // shards for k in range(1, shards)]
+    if not shares:
+        return [total]
     near = groups.where(
         F.greatest(*[F.col("upto").between(s - largest, s + largest).cast("int") for s in [*shares, total]]) == 1
     )

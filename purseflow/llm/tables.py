@@ -33,6 +33,18 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Only these columns, so that other columns of the input can't clash."""
-    return df.select(*columns)
+def steady(documents: DataFrame, name: str) -> DataFrame:
+    """``documents`` such that numbering its rows twice gives the same numbers.
+
+    Rows of stored files come in the same order every time they are read. Rows behind a
+    shuffle may not, after a lost executor or for other columns, so these are written first.
+    """
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    return Workspace(documents, name).put(documents) if "Exchange" in plan else documents
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of the table is called so."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
