@@ -28,6 +28,8 @@ from .tokens import encoder
 CAPACITY = 2048
 BLOCK_PIECES = 20_000
 END_ID = 0
+SWEEPS = 3  # how often the search visits all underfull bins of a block; it ends sooner if nothing moves
+DONORS = 16  # emptiest bins that are searched for two documents to exchange for one
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -59,8 +61,9 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
 
     A step takes the fullest underfull bin and brings in, from an emptier bin, what fills it
     best: a document that fits (move), a longer document for one of its own (one for one), or
-    two documents for one of its own (two for one). The squared fill grows with every step, so
-    the search ends; it ends early once no smaller number of bins could hold the pieces.
+    two documents for one of its own (two for one). The squared fill grows with every step. The
+    search ends when a sweep over all bins moves nothing or no smaller number of bins could hold
+    the pieces, at the latest after ``SWEEPS`` sweeps; no piece depends on it, only the number of bins.
     """
     size = [sum(lengths[i] for i in b) for b in bins]
     done = [b for b, s in zip(bins, size) if s == capacity]
@@ -108,7 +111,7 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
     # two documents of one emptier bin against one of the target's, by the emptiest bins first
     def pair(room: int, own: list[int], target: int) -> tuple[int, list[int], int, int] | None:
         best = None
-        for f, k in order[:64]:
+        for f, k in order[:DONORS]:
             if (f, k) >= (fill[target], target):
                 break
             items = rest[k]
@@ -122,7 +125,9 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
         return best
 
     def change(k: int, out: list[int], come: list[int]) -> None:
+        nonlocal total
         order.remove((fill[k], k))
+        total -= fill[k]
         drop(k)
         for i in out:
             rest[k].remove(i)
@@ -136,11 +141,11 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
         else:
             add(k)
             insort(order, (fill[k], k))
+            total += fill[k]
 
-    at = len(order) - 1
-    while at > 0 and len(rest) > -(-total // capacity):
-        f, k = order[at]
-        room, own = capacity - f, list(rest[k])
+    def step(k: int) -> bool:
+        """Bring into bin ``k`` what fills it best; whether anything did."""
+        room, own = capacity - fill[k], list(rest[k])
         options: list[tuple[int, list[int], list[int], int]] = []
         moved = longest(room, 0, k)
         if moved:
@@ -155,13 +160,21 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
                 if two:
                     options.append((two[0], two[1], [two[2]], two[3]))
         if not options:
-            at -= 1
-            continue
+            return False
         _, come, out, source = max(options, key=lambda o: (o[0], -len(o[1]) - len(o[2])))
         change(source, come, out)
         change(k, out, come)
-        total = sum(fill.values())
-        at = len(order) - 1
+        return True
+
+    for _ in range(SWEEPS):
+        moved_any = False
+        for _, k in sorted(order, reverse=True):  # fullest first
+            while k in rest and step(k):
+                moved_any = True
+            if len(rest) <= -(-total // capacity):
+                break
+        if not moved_any or len(rest) <= -(-total // capacity):
+            break
     return done + list(rest.values())
 
 
