@@ -29,10 +29,10 @@ def join_group_stats(
     """Join per-key statistics back to their rows.
 
     ``stats`` has one row per key with ``n_col``, the key's number of rows. Up to
-    ``small`` keys are broadcast, so no row is shuffled. Beyond that, hot keys are split
-    off, because adaptive skew splitting does not apply when one side ends in an
-    aggregate: their statistics, at most ``HOT_KEYS`` rows, are broadcast, and the rows
-    of the other keys meet theirs in an ordinary join.
+    ``small`` keys are broadcast, so no row is shuffled. Beyond that, the hottest keys are
+    split off: their statistics, at most ``HOT_KEYS`` rows, are broadcast, so their rows are
+    not shuffled at all. The rows of the other keys meet theirs in an ordinary join, where
+    adaptive skew splitting applies, since the statistics are read from a written table.
     """
     keys = list(keys)
     seen = Observation()  # number of keys, largest key and total, noted while writing

@@ -47,7 +47,9 @@ def read_typed_csv(spark: SparkSession, path: str, columns: Sequence[str], times
 
 
 def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("overwrite").option("header", True)
+    # few large files per folder, and a hot folder split over several tasks
+    rows = df.hint("rebalance", *by) if by else df
+    writer = rows.write.mode("overwrite").option("header", True)
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
