@@ -124,7 +124,7 @@ _WINDOW = "doc_id long, row long, gram long, at long, hash long"
 def _windows(documents: DataFrame, contested: DataFrame, length: int, gram: int) -> DataFrame:
     """Every window of the contested anchors (row, place): its start and hash."""
     marks = bit_map(contested.select(F.xxhash64("row").alias("key")), "key")
-    spots = bit_map(contested.select((F.col("row") * 1_000_003 + F.col("place")).alias("key")).select(F.xxhash64("key").alias("key")), "key")
+    spots = bit_map(contested.select(F.xxhash64("row", "place").alias("key")), "key")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -135,9 +135,16 @@ def _windows(documents: DataFrame, contested: DataFrame, length: int, gram: int)
             for begin, _, data, offsets in blocks(batch):
                 doc, place, first, last, grams, sums = anchors(data, offsets, length, gram)
                 base = offsets[doc]
-                rows_at = numbers.to_numpy()[begin + doc]
-                spot = (rows_at * 1_000_003 + place - base).astype("<i8")
-                keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in spot], np.uint64)
+                # Spark's hash of (row, place): the first one's hash is the second one's seed
+                seeds = [
+                    xxhash.xxh64_intdigest(n.to_bytes(8, "little"), 42)
+                    for n in numbers.slice(begin, len(offsets) - 1).to_pylist()
+                ]
+                spot = (place - base).astype("<i8").tobytes()
+                keys = np.array(
+                    [xxhash.xxh64_intdigest(spot[8 * i : 8 * i + 8], seeds[d]) for i, d in enumerate(doc.tolist())],
+                    np.uint64,
+                )
                 keep = np.flatnonzero(marked(spots.value, keys))
                 doc, place, first, last, grams = (x[keep] for x in (doc, place, first, last, grams))
                 n = last - first + 1
