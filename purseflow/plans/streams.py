@@ -12,22 +12,28 @@ from ..streaming import jobs
 from .registry import dbl, report, with_
 from .relations import STREAM_ALERT
 
-# Fixed value: the source arrives in this many slices.
+# The source arrives in at least so many slices (fixed value), of at most so many rows.
 SLICES = 6
+SLICE_ROWS = 1_000_000
 
-SLICED = f"""sliced AS (SELECT *, CAST(((ROW_NUMBER() OVER (ORDER BY txn_id) - 1) * {SLICES}) // COUNT(*) OVER () AS INTEGER) AS slice
-  FROM txn)"""
+SLICED = f"""sized AS (SELECT *, COUNT(*) OVER () AS n, GREATEST({SLICES}, (COUNT(*) OVER () + {SLICE_ROWS - 1}) // {SLICE_ROWS}) AS k
+  FROM txn),
+sliced AS (SELECT *, CAST(((ROW_NUMBER() OVER (ORDER BY txn_id) - 1) * k) // n AS INTEGER) AS slice FROM sized)"""
 
 
 def txn_slices(spark: SparkSession, folder: str) -> DataFrame:
-    """All transactions as a stream of six slices, about one slice per micro-batch."""
-    n = t.read(spark, folder, "orders").agg(F.count("*")).scalar()
+    """All transactions as a stream of slices, about one slice per micro-batch.
+
+    The number of slices grows with the table, so a micro-batch does not.
+    """
+    n = t.read(spark, folder, "orders").count()
+    slices = max(SLICES, -(-n // SLICE_ROWS))
     placed = t.txn(spark, folder, placed=True)
-    sliced = placed.withColumn("slice", F.floor(F.col("pos") * SLICES / n).cast("int")).drop("pos")
+    sliced = placed.withColumn("slice", F.expr(f"cast(pos * {slices} div {max(n, 1)} as int)")).drop("pos")
     path = fresh_path(spark, "slices")
     sliced.write.partitionBy("slice").parquet(path)
     n_files = len(spark.read.schema(sliced.schema).parquet(path).inputFiles())
-    return jobs.file_stream(spark, path, sliced.schema, max_files=max(1, n_files // SLICES))
+    return jobs.file_stream(spark, path, sliced.schema, max_files=max(1, n_files // slices))
 
 
 def event_rows(spark: SparkSession, folder: str) -> DataFrame:
