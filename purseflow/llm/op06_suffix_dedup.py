@@ -121,8 +121,14 @@ def _tuples(documents: DataFrame, marks: Broadcast, length: int, gram: int) -> D
 _WINDOW = "doc_id long, row long, gram long, at long, hash long"
 
 
-def _windows(documents: DataFrame, contested: DataFrame, length: int, gram: int) -> DataFrame:
-    """Every window of the contested anchors (row, place): its start and hash."""
+def _windows(
+    documents: DataFrame, contested: DataFrame, length: int, gram: int, again: Broadcast | None = None
+) -> DataFrame:
+    """The windows of the contested anchors (row, place).
+
+    Without ``again`` only each hash and how often a block has it; with it, place and hash of
+    the windows whose hash is marked there.
+    """
     marks = bit_map(contested.select(F.xxhash64("row").alias("key")), "key")
     spots = bit_map(contested.select(F.xxhash64("row", "place").alias("key")), "key")
 
@@ -153,6 +159,12 @@ def _windows(documents: DataFrame, contested: DataFrame, length: int, gram: int)
                 found = mix(
                     span_hashes(sums, start, start + length) + (place[which] - start).astype(np.uint64) * PLACE[0]
                 )
+                if again is None:
+                    found, times = np.unique(found, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["hash", "n"])
+                    continue
+                keep = np.flatnonzero(marked(again.value, found))
+                which, start, found = which[keep], start[keep], found[keep]
                 at = pa.array(begin + doc[which])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -162,7 +174,8 @@ def _windows(documents: DataFrame, contested: DataFrame, length: int, gram: int)
                     names=["doc_id", "row", "gram", "at", "hash"],
                 )
 
-    return documents.withColumn("key", F.xxhash64("row")).mapInArrow(rows, _WINDOW)
+    schema = "hash long, n long" if again is None else _WINDOW
+    return documents.withColumn("key", F.xxhash64("row")).mapInArrow(rows, schema)
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -186,7 +199,9 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     contested = work.put(
         classes.join(several, "gram").select("least.row", "least.place")
     )
-    windows = work.put(_windows(docs, contested, length, gram))
+    # most of these windows occur once and are told by their hash alone
+    counted = _windows(docs, contested, length, gram).groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1")
+    windows = work.put(_windows(docs, contested, length, gram, bit_map(counted.select("hash"), "hash")))
     begin = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
     first = windows.groupBy("gram", "hash").agg(F.min(begin).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     induced = (
