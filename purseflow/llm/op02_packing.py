@@ -2,7 +2,7 @@
 
 Pieces are dealt into blocks of bounded size by hash. In a block they are packed best fit
 decreasing; then documents are moved or exchanged (one for one, two for one) between
-underfull bins whenever that raises the sum of squared fills, so the fuller bins fill up
+underfull bins as long as that raises the sum of squared fills, so the fuller bins fill up
 and the emptier ones empty out. Bins that end up full are done. The pieces of the other
 bins of all blocks are dealt anew into fewer blocks, until one block holds them, so blocks
 cost no more than a few bins altogether.
@@ -11,7 +11,7 @@ cost no more than a few bins altogether.
 from __future__ import annotations
 
 import zlib
-from bisect import insort
+from bisect import bisect_left, insort
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -28,8 +28,6 @@ from .tokens import encoder
 CAPACITY = 2048
 BLOCK_PIECES = 20_000
 END_ID = 0
-SWEEPS = 3  # how often the search visits all underfull bins of a block; it ends sooner if nothing moves
-DONORS = 16  # emptiest bins that are searched for two documents to exchange for one
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -61,9 +59,9 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
 
     A step takes the fullest underfull bin and brings in, from an emptier bin, what fills it
     best: a document that fits (move), a longer document for one of its own (one for one), or
-    two documents for one of its own (two for one). The squared fill grows with every step. The
-    search ends when a sweep over all bins moves nothing or no smaller number of bins could hold
-    the pieces, at the latest after ``SWEEPS`` sweeps; no piece depends on it, only the number of bins.
+    two documents for one of its own (two for one). The squared fill grows with every step, so the
+    search ends: when a sweep over all bins moves nothing, or when no smaller number of bins could
+    hold the pieces. Every emptier bin is looked at: the sums of two of its lengths are the bits of one number.
     """
     size = [sum(lengths[i] for i in b) for b in bins]
     done = [b for b, s in zip(bins, size) if s == capacity]
@@ -71,29 +69,33 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
     fill = {k: size[k] for k in rest}
     total = sum(fill.values())
     order = sorted((fill[k], k) for k in rest)  # emptiest first
-    single: list[set[tuple[int, int]]] = [set() for _ in range(capacity + 1)]  # length -> (item, bin)
+    single: list[list[tuple[int, int, int]]] = [[] for _ in range(capacity + 1)]  # length -> (fill, item, bin), sorted
     have = 0
+    sums: dict[int, int] = {}  # bin -> bit s: two of its items have s in all; made when needed
 
     def add(k: int) -> None:
         nonlocal have
         for i in rest[k]:
-            single[lengths[i]].add((i, k))
+            insort(single[lengths[i]], (fill[k], i, k))
             have |= 1 << lengths[i]
 
     def drop(k: int) -> None:
         nonlocal have
+        sums.pop(k, None)
         for i in rest[k]:
-            single[lengths[i]].discard((i, k))
-            if not single[lengths[i]]:
+            entries = single[lengths[i]]
+            del entries[bisect_left(entries, (fill[k], i, k))]
+            if not entries:
                 have &= ~(1 << lengths[i])
 
     def donor(length: int, target: int) -> tuple[int, int] | None:
         """An item of this length in a bin that is not fuller than the target."""
-        best = None
-        for i, k in single[length]:
-            if k != target and (fill[k], k) < (fill[target], target) and (best is None or (fill[k], i) < best[0]):
-                best = (fill[k], i), k
-        return None if best is None else (best[0][1], best[1])
+        for f, i, k in single[length]:  # emptiest bins first
+            if f > fill[target]:
+                return None
+            if (f, k) < (fill[target], target):
+                return i, k
+        return None
 
     def longest(upto: int, above: int, target: int) -> tuple[int, int] | None:
         """The longest available item with above < length <= upto."""
@@ -108,25 +110,51 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
 
     for k in rest:
         add(k)
-    # two documents of one emptier bin against one of the target's, by the emptiest bins first
+
+    def two_sums(k: int) -> int:
+        if k not in sums:
+            found = seen = 0
+            for i in rest[k]:
+                found |= seen << lengths[i]
+                seen |= 1 << lengths[i]
+            sums[k] = found
+        return sums[k]
+
+    # two documents of one emptier bin against one of the target's; of equal gains the emptiest bin's
     def pair(room: int, own: list[int], target: int) -> tuple[int, list[int], int, int] | None:
-        best = None
-        for f, k in order[:DONORS]:
+        def wanted(above: int) -> int:
+            """Bit s: s exceeds an own length by more than ``above`` and at most by ``room``."""
+            span = ((1 << (room - above)) - 1) << (above + 1)
+            out = 0
+            for i in own:
+                out |= span << lengths[i]
+            return out
+
+        best, gain, want = None, 0, wanted(0)
+        for f, k in order:
             if (f, k) >= (fill[target], target):
                 break
-            items = rest[k]
-            for x in range(len(items)):
-                for y in range(x):
-                    both = lengths[items[x]] + lengths[items[y]]
-                    for i in own:
-                        gain = both - lengths[i]
-                        if 0 < gain <= room and (best is None or gain > best[0]):
-                            best = gain, [items[x], items[y]], i, k
-        return best
+            if not two_sums(k) & want:
+                continue
+            within = ((1 << room) - 1) << 1
+            gain, item = max((((sums[k] >> lengths[i]) & within).bit_length() - 1, i) for i in own)
+            best = k, item
+            if gain == room:
+                break
+            want = wanted(gain)
+        if best is None:
+            return None
+        k, item = best
+        both, at = lengths[item] + gain, {}
+        for i in rest[k]:
+            if both - lengths[i] in at:
+                return gain, [i, at[both - lengths[i]]], item, k
+            at[lengths[i]] = i
+        raise AssertionError("the sum of two lengths has no such pair")
 
     def change(k: int, out: list[int], come: list[int]) -> None:
         nonlocal total
-        order.remove((fill[k], k))
+        del order[bisect_left(order, (fill[k], k))]
         total -= fill[k]
         drop(k)
         for i in out:
@@ -145,7 +173,7 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
 
     def step(k: int) -> bool:
         """Bring into bin ``k`` what fills it best; whether anything did."""
-        room, own = capacity - fill[k], list(rest[k])
+        room, own = capacity - fill[k], list({lengths[i]: i for i in rest[k]}.values())
         options: list[tuple[int, list[int], list[int], int]] = []
         moved = longest(room, 0, k)
         if moved:
@@ -166,15 +194,14 @@ def improve(bins: list[list[int]], lengths: Sequence[int], capacity: int) -> lis
         change(k, out, come)
         return True
 
-    for _ in range(SWEEPS):
+    moved_any = True
+    while moved_any and len(rest) > -(-total // capacity):
         moved_any = False
         for _, k in sorted(order, reverse=True):  # fullest first
             while k in rest and step(k):
                 moved_any = True
             if len(rest) <= -(-total // capacity):
                 break
-        if not moved_any or len(rest) <= -(-total // capacity):
-            break
     return done + list(rest.values())
 
 

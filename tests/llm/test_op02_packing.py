@@ -72,3 +72,29 @@ def test_blocks_cost_few_sequences(spark):
     pieces = op.pack(spark.createDataFrame(data, "doc_id long, length long"), 2048, block_pieces=400).collect()
     n = check_layout(pieces, 2048)
     assert len(pieces) == 3_000 and n <= sum(x for _, x in data) / 2048 * 1.01 + 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_ends_only_when_no_exchange_is_left(seed):
+    rng = random.Random(seed)
+    lengths = sorted((rng.choice([rng.randint(50, 53), rng.randint(100, 104)]) for _ in range(400)), reverse=True)
+    bins = op.improve(op.best_fit(lengths, 205), lengths, 205)
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    if len(bins) == -(-sum(lengths) // 205):
+        return
+    for a, own in enumerate(bins):
+        room = 205 - fill[a]
+        for b, other in enumerate(bins):
+            if a == b or fill[b] > fill[a] or not room or fill[b] == 205:
+                continue
+            come = {lengths[i] for i in other} | {lengths[i] + lengths[j] for i in other for j in other if i < j}
+            assert not any(lengths[i] <= room for i in other)
+            # equal fills: exchanges go one way only
+            if fill[b] < fill[a]:
+                assert not any(0 < c - lengths[i] <= room for c in come for i in own)
+
+
+def test_blocks_of_like_lengths_come_near_the_bound():
+    rng = random.Random(3)
+    lengths = sorted((rng.choice([rng.randint(500, 530), rng.randint(1000, 1040)]) for _ in range(3000)), reverse=True)
+    assert len(op.improve(op.best_fit(lengths, 2048), lengths, 2048)) <= -(-sum(lengths) // 2048) * 1.005
