@@ -8,7 +8,8 @@ aimed threat. A document's score weighs these matches, never a word by itself.
 
 Insults are learned: words, and stems of five letters, that stand in many different contexts
 (word before, word after) of toxic training documents and hardly ever in the others.
-Counting contexts keeps a text with thousands of copies from turning its words into insults.
+Counting contexts on both sides keeps a text with thousands of copies from turning its words
+into insults, or the insults it quotes into ordinary words.
 The weights of the matches are a logistic regression. Counts cover all labelled training
 documents; the regression is fitted on at most ``FIT_ROWS`` of them, those whose doc_id
 hashes lowest. Labels of held-out documents are never read, nor are lang, source or doc_id.
@@ -18,7 +19,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,10 +32,11 @@ from .tables import Workspace
 
 FOLDS = 5
 FIT_ROWS = 20_000
-MAX_ENTRIES = 5_000  # size of the learned lexicon: the entries with the most evidence
 MIN_CONTEXTS = 5
 MIN_LOG_ODDS = 2.5
 STEM = 5
+SLICES = 8  # of so many parts of all contexts one is counted first; it rules out ordinary words
+SEEN = 200_000  # contexts a worker holds before it passes them on
 BROADCAST_LABELS = 2_000_000
 
 # closed word classes, fixed values
@@ -203,33 +204,52 @@ def _entries(words: list[str]) -> Iterator[tuple[str, int]]:
 
 
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entry, context, n): contexts of toxic documents; for the others context 0 and occurrences."""
+    """(entry, context, toxic): all contexts in toxic documents, those of one slice in the others."""
     for batch in batches:
-        clean: Counter = Counter()
-        seen: set[tuple[str, int]] = set()
+        seen: set[tuple[str, int, bool]] = set()
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             words = [w.strip(_EDGES) for w in (text or "").lower().split()]
-            if toxic:
+            around = ["", *words, ""]
+            for entry, i in _entries(words):
+                context = _stable(around[i] + " " + around[i + 2])
+                if toxic or _first_slice(context):
+                    seen.add((entry, context, bool(toxic)))
+            if len(seen) >= SEEN:
+                yield _evidence_rows(seen)
+                seen = set()
+        yield _evidence_rows(seen)
+
+
+def _evidence_rows(seen: set[tuple[str, int, bool]]) -> pa.RecordBatch:
+    columns = list(zip(*seen)) or [[]] * 3
+    kinds = [pa.string(), pa.int64(), pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["entry", "context", "toxic"])
+
+
+def _other_slices(entries: frozenset[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(entry, context, toxic) of these entries for the contexts that ``_evidence`` left out."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: set[tuple[str, int, bool]] = set()
+            for text in batch.column("text").to_pylist():
+                words = [w.strip(_EDGES) for w in (text or "").lower().split()]
                 around = ["", *words, ""]
                 for entry, i in _entries(words):
-                    seen.add((entry, _stable(around[i] + " " + around[i + 2])))
-            else:
-                clean.update(words)
-        stems: Counter = Counter()
-        for word, n in clean.items():
-            if len(word) > STEM:
-                stems[word[:STEM] + "*"] += n
-        clean.update(stems)
-        clean.pop("", None)
-        names = [e for e, _ in seen] + list(clean)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(names, pa.string()),
-                pa.array([c for _, c in seen] + [0] * len(clean), pa.int64()),
-                pa.array([0] * len(seen) + list(clean.values()), pa.int64()),
-            ],
-            names=["entry", "context", "n"],
-        )
+                    if entry in entries:
+                        context = _stable(around[i] + " " + around[i + 2])
+                        if not _first_slice(context):
+                            seen.add((entry, context, False))
+                if len(seen) >= SEEN:
+                    yield _evidence_rows(seen)
+                    seen = set()
+            yield _evidence_rows(seen)
+
+    return rows
+
+
+def _first_slice(context: int) -> bool:
+    return (context >> 1) % SLICES == 0
 
 
 def _stable(text: str) -> int:
@@ -273,30 +293,32 @@ def train(documents: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Model:
     if not n:
         return Model(Lexicon({}, {}), [-30.0] + [0.0] * len(FEATURES))
     labelled = docs.join(broadcast_if_small(known, BROADCAST_LABELS), F.col("doc_id") == F.col("label_id"))
-    evidence = labelled.select("text", "toxic").mapInArrow(_evidence, "entry string, context long, n long")
+    kind = "entry string, context long, toxic boolean"
     counts = (
-        evidence.groupBy("entry", "context")
-        .agg(F.sum("n").alias("n"))
+        labelled.select("text", "toxic").mapInArrow(_evidence, kind)
+        .distinct()
         .groupBy("entry")
-        .agg(F.sum(F.when(F.col("context") != 0, 1).otherwise(0)).alias("toxic"), F.sum("n").alias("clean"))
-        .where(F.col("toxic") > 0)
+        .agg(F.sum(F.col("toxic").cast("long")).alias("toxic"), F.sum((~F.col("toxic")).cast("long")).alias("clean"))
+        .where(F.col("toxic") >= MIN_CONTEXTS)
     )
-    counts = work.put(counts)
-    all_toxic = counts.agg(F.sum("toxic")).first()[0] or 1
-    # the share of clean documents scales their occurrences to the toxic ones
-    odds = F.log((F.col("toxic") + 0.5) / all_toxic) - F.log(
-        (F.col("clean") + 0.5) * (max(positive, 1) / max(n - positive, 1)) / all_toxic
-    )
-    best = (
-        counts.withColumn("odds", odds)
-        .where((F.col("toxic") >= MIN_CONTEXTS) & (F.col("odds") >= MIN_LOG_ODDS))
-        .orderBy((F.col("toxic") * F.col("odds")).desc(), "entry")
-        .limit(MAX_ENTRIES)
-        .collect()
+    # the share of clean documents scales their contexts to the toxic ones
+    share = max(positive, 1) / max(n - positive, 1)
+    odds = F.log(F.col("toxic") + 0.5) - F.log((F.col("clean") + 0.5) * share)
+    # contexts of one slice are no more than all: who fails by them fails by all
+    likely = {r["entry"]: r for r in counts.where(odds >= MIN_LOG_ODDS).collect()}
+    more = (
+        labelled.where("toxic = 0").select("text").mapInArrow(_other_slices(frozenset(likely)), kind)
+        .distinct().groupBy("entry").agg(F.count(F.lit(1)).alias("n"))
     )
+    clean = {r["entry"]: r["n"] for r in more.collect()} if likely else {}
+    best = {
+        e: math.log(r["toxic"] + 0.5) - math.log((r["clean"] + clean.get(e, 0) + 0.5) * share)
+        for e, r in sorted(likely.items())
+    }
+    best = {e: odds for e, odds in best.items() if odds >= MIN_LOG_ODDS}
     lexicon = Lexicon(
-        {r["entry"]: float(r["odds"]) for r in best if not r["entry"].endswith("*")},
-        {r["entry"][:-1]: float(r["odds"]) for r in best if r["entry"].endswith("*")},
+        {e: odds for e, odds in best.items() if not e.endswith("*")},
+        {e[:-1]: odds for e, odds in best.items() if e.endswith("*")},
     )
     sample = known.orderBy(F.xxhash64("label_id"), "label_id").limit(FIT_ROWS)
 

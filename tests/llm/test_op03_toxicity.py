@@ -45,3 +45,27 @@ def test_edge_rows(spark, edge, empty, rows):
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
     assert {r.predicted for r in op.toxicity(edge, labels.where("false")).collect()} == {0}
     assert op.toxicity(empty, labels).count() == 0
+
+
+def trained(spark, toxic, clean):
+    ids = [i for i in range(20 * (len(toxic) + len(clean))) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, text, k < len(toxic)) for k, (i, text) in enumerate(zip(ids, toxic + clean))]
+    return op.train(
+        spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"),
+        spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, toxic int"),
+    ).lexicon
+
+
+def test_copies_of_a_clean_text_do_not_clear_an_insult(spark):
+    toxic = [f"a{i} plonk b{i}" for i in range(20)]
+    copied = ["nobody is a plonk here"] * 2000 + [f"c{i} d{i}" for i in range(20)]
+    assert trained(spark, toxic, copied).weight("plonk") > 0
+    many = [f"e{i} plonk f{i}" for i in range(2000)]  # as often, but in contexts of their own
+    assert not trained(spark, toxic, many).weight("plonk")
+
+
+def test_lexicon_has_every_entry_with_enough_contexts(spark):
+    words = [f"{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}q" for i in range(5_300)]
+    toxic = [" ".join(f"x{k} {w}" for w in words) + f" x{k}" for k in range(op.MIN_CONTEXTS)]
+    lexicon = trained(spark, toxic, [f"clean text {i}" for i in range(200)])
+    assert all(lexicon.weight(w) > 0 for w in words)
