@@ -246,7 +246,8 @@ def quality(documents: DataFrame, reject_level: float = REJECT_LEVEL) -> DataFra
     * ``base_failed``: fewer than 50 words, or more than half of them in repeated windows.
     * Estimates are per (lang, source) where it has at least ``MIN_GROUP`` texts that pass the
       base rules; the texts of smaller groups are pooled by language, and those of still
-      smaller pools over all languages. A last pool below ``MIN_GROUP`` rejects nothing.
+      smaller pools over all languages. A last pool below ``MIN_GROUP`` is judged by the estimate
+      over all texts that pass; only if these are fewer too, nothing in it is rejected.
     * Null lang or source is a value like any other; null, empty and blank texts have no words
       and fail the base rule. Rows may repeat or lack a doc_id; each is answered.
     * An empty table gives no rows; other columns are ignored.
@@ -274,6 +275,9 @@ def quality(documents: DataFrame, reject_level: float = REJECT_LEVEL) -> DataFra
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     placed = stats.join(named, same).drop("_lang", "_source")
     vectors = work.put(placed.where(~F.col("base_failed")).select("stratum", "x"))
+    last = F.col("stratum.level") == 2
+    if 0 < vectors.where(last).limit(MIN_GROUP).count() < MIN_GROUP:
+        vectors = work.put(vectors.unionByName(vectors.where(~last).withColumn("stratum", anything)))
     found = estimate(vectors, work).where(F.col("n") >= MIN_GROUP)
     judged = _distance(placed.join(broadcast_if_small(found.drop("n")), "stratum", "left"), "f")
     limit = chi2_quantile(reject_level, P)

@@ -50,3 +50,20 @@ def test_junk_goes_and_clean_documents_stay(spark):
     )
     kept = {r.quality: r.kept for r in got.collect()}
     assert kept[1] > 0.999 and kept[0] < 0.2
+
+
+def test_junk_of_a_thin_tail_of_languages_goes(spark):
+    rng = np.random.default_rng(5)
+
+    def prose(n):
+        return " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(2, 8))) for _ in range(n))
+
+    rows = [(i, prose(int(rng.integers(80, 400))), "en", "web") for i in range(400)]
+    rows += [(1000 + i, prose(int(rng.integers(80, 400))), f"l{i % 20}", "web") for i in range(60)]
+    rows += [(2000 + i, " ".join(f"#$%&|{w}#$%&|" for w in prose(200).split()), f"l{i}", "web") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in op.quality(docs).collect()}
+    assert len(got) == len(rows) and not any(got[2000 + i].kept or got[2000 + i].base_failed for i in range(3))
+    assert sum(got[1000 + i].kept for i in range(60)) >= 55
+    few = {r.doc_id: r.kept for r in op.quality(docs.where("doc_id >= 1000")).collect()}
+    assert all(few.values())
