@@ -2,7 +2,8 @@
 
 No Python code runs per word: a block of whole documents is one byte array, words are
 runs in it, and a word's 64-bit hash comes from a prefix sum of a polynomial modulo 2^64.
-A document is never cut; a block is one long document if need be.
+Such sums coincide for some long patterned words whatever the base is, so words above 63
+bytes get xxhash instead. A document is never cut; a block is one long document if need be.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 BLOCK_BYTES = 1 << 19
 
+LONG_SPAN = 63
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D  # odd, so that it has an inverse modulo 2^64
@@ -89,10 +93,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def prefix_sums(data: np.ndarray, values: np.ndarray = BYTE_VALUE) -> np.ndarray:
+def prefix_sums(data: np.ndarray, values: np.ndarray | None = BYTE_VALUE) -> np.ndarray:
+    """Sums for ``span_hashes``; without ``values`` the data are 64-bit values themselves."""
     up, _ = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * up[: len(data)], out=sums[1:])
+    np.cumsum((data if values is None else values[data]) * up[: len(data)], out=sums[1:])
     return sums
 
 
@@ -102,12 +107,22 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * down[start])
 
 
+def hash_long(
+    hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False
+) -> np.ndarray:
+    """Replace, in place, the hashes of spans above 63 entries by those of another kind."""
+    for i in np.flatnonzero(end - start > LONG_SPAN).tolist():
+        raw = data[start[i] : end[i]].tobytes()
+        hashes[i] = xxhash.xxh3_64_intdigest(raw.translate(_LOWER) if lower else raw)
+    return hashes
+
+
 def word_hashes(
     data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = IS_WORD
 ) -> tuple[np.ndarray, np.ndarray]:
     """Document number and hash (A-Z lower-cased) of every word, in order."""
     doc, start, end = word_spans(data, offsets, is_word)
-    return doc, span_hashes(prefix_sums(data), start, end)
+    return doc, hash_long(span_hashes(prefix_sums(data), start, end), data, start, end, lower=True)
 
 
 def shingles(words: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

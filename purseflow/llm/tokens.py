@@ -17,9 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .text import EXACT_VALUE, blocks, prefix_sums, span_hashes
-
-KEPT_PIECES = 1_000_000
+from .piece_table import KEPT_PIECES, PieceTable
+from .text import EXACT_VALUE, blocks, hash_long, prefix_sums, span_hashes
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -37,7 +36,7 @@ _DOUBTFUL[[0xC2, 0xE1, 0xE2, 0xE3, 0x1C, 0x1D, 0x1E, 0x1F]] = True
 _ODD = _SPACE | _DOUBTFUL | (np.arange(256) < 0x20)
 
 
-class Encoder:
+class Encoder(PieceTable):
     """Encodes whole texts; ``path`` names a tokenizer file of the ``tokenizers`` library."""
 
     def __init__(self, path: str, kept: int = KEPT_PIECES) -> None:
@@ -47,62 +46,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.line_end = self._direct(["\n"])[0]
-        self.kept = kept
-        self._clear(1 << 16)
+        super().__init__(kept)
 
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32) for x in found]
 
-    def _clear(self, slots: int) -> None:
-        self.keys = np.zeros(slots, np.uint64)
-        self.entry = np.zeros(slots, np.int32)
-        self.begin, self.length, self.n = np.zeros(1024, np.int64), np.zeros(1024, np.int32), 0
-        self.ids, self.n_ids = np.zeros(4096, np.uint32), 0
-
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """Entry number of each key, or -1."""
-        mask = np.uint64(len(self.keys) - 1)
-        out = np.full(len(keys), -1, np.int64)
-        rest, slot = np.arange(len(keys)), keys & mask
-        while len(rest):
-            there = self.keys[slot]
-            hit = there == keys[rest]
-            out[rest[hit]] = self.entry[slot[hit]]
-            go_on = ~hit & (there != 0)
-            rest, slot = rest[go_on], (slot[go_on] + np.uint64(1)) & mask
-        return out
-
-    def _place(self, keys: np.ndarray, entries: np.ndarray) -> None:
-        mask = np.uint64(len(self.keys) - 1)
-        rest, slot = np.arange(len(keys)), keys & mask
-        while len(rest):
-            empty = self.keys[slot] == 0
-            self.keys[slot[empty]] = keys[rest[empty]]
-            mine = self.keys[slot] == keys[rest]
-            self.entry[slot[mine]] = entries[rest[mine]]
-            rest, slot = rest[~mine], (slot[~mine] + np.uint64(1)) & mask
-
-    def _add(self, keys: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> None:
-        while self.n + len(keys) > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        while self.n_ids + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        new = np.arange(self.n, self.n + len(keys))
-        self.begin[new] = self.n_ids + np.cumsum(lengths) - lengths
-        self.length[new] = lengths
-        self.ids[self.n_ids : self.n_ids + len(flat)] = flat
-        self.n, self.n_ids = self.n + len(keys), self.n_ids + len(flat)
-        if 2 * self.n > len(self.keys):
-            old, entries = self.keys[self.keys != 0], self.entry[self.keys != 0]
-            slots = len(self.keys)
-            while 2 * self.n > slots:
-                slots *= 2
-            self.keys, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
-            self._place(old, entries)
-        self._place(keys, new)
-
     def _encode_lines(self, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number of pieces without inner spaces, which the library gets as lines of one text."""
         flats, lengths = [], []
@@ -145,21 +94,9 @@ class Encoder:
         begins[filled] = True
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data))
-        keys = span_hashes(prefix_sums(data, EXACT_VALUE), start, end)
+        keys = hash_long(span_hashes(prefix_sums(data, EXACT_VALUE), start, end), data, start, end)
         keys[keys == 0] = 1
-        entry = self._find(keys)
-        missing = np.flatnonzero(entry < 0)
-        if len(missing):
-            new, first = np.unique(keys[missing], return_index=True)
-            at = missing[first]
-            if self.n and self.n + len(new) > self.kept:
-                self._clear(1 << 16)
-                return self.encode_block(data, offsets)
-            self._learn(data, new, start[at], end[at])
-            entry[missing] = self._find(keys[missing])
-        lengths = self.length[entry].astype(np.int64)
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.repeat(self.begin[entry] - upto[:-1], lengths) + np.arange(upto[-1])]
+        ids, upto = self.look_up(keys, lambda new, at: self._learn(data, new, start[at], end[at]))
         return ids, upto[np.searchsorted(start, offsets)]
 
     def documents(self, batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, np.ndarray]]:

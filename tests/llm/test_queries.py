@@ -3,13 +3,17 @@
 import brute
 import corpus_pipeline
 import numpy as np
+import public_tokenizers
 import pytest
 from oracle import connect, differences
+from tokenizers import Tokenizer
 
 from purseflow.llm import CHECKS, QUERIES
 from purseflow.llm.bitmap import bit_map, marked
 from purseflow.llm.components import components
 from purseflow.llm.tables import Workspace
+from purseflow.llm.text import IS_ALNUM, IS_WORD, word_hashes
+from purseflow.llm.tokens import Encoder
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
@@ -17,8 +21,8 @@ def test_query_agrees_with_sql(spark, folder, name):
     assert differences(QUERIES[name](spark, folder), connect(folder), CHECKS[name]) == []
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, folder):
@@ -64,3 +68,21 @@ def test_bit_map(spark):
     assert marked(marks.value, np.array(keys, np.int64).view(np.uint64)).all()
     others = np.random.default_rng(0).integers(0, 2**63, 10_000).astype(np.uint64)
     assert marked(marks.value, others).sum() == 0
+
+
+def test_long_patterned_words_are_told_apart():
+    """A word of 2,048 bytes and its complement, whose polynomial sums modulo 2^64 are equal."""
+    word = b"a"
+    for _ in range(11):
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    other = word.translate(bytes.maketrans(b"ab", b"ba"))
+    data = np.frombuffer(word + other + word + word.upper(), np.uint8)
+    offsets = np.arange(5) * len(word)
+    for is_word in (IS_WORD, IS_ALNUM):
+        _, hashes = word_hashes(data, offsets, is_word)
+        assert hashes[0] != hashes[1] and hashes[0] == hashes[2] == hashes[3]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    ids, bounds = Encoder(path).encode_block(data, offsets)
+    for i, text in enumerate([word, other, word, word.upper()]):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == plain.encode(text.decode()).ids
