@@ -72,10 +72,12 @@ def decode(encoded: DataFrame, path: str, check: bool = True) -> DataFrame:
                 lists = batch.column("ids")
                 bounds = lists.offsets.to_numpy().astype(np.int64)
                 ids = lists.values.to_numpy()[bounds[0] : bounds[-1]].astype(np.uint32)
-                texts = codec(path).texts(ids, bounds - bounds[0])
+                bounds = bounds - bounds[0]
+                texts = codec(path).texts(ids, bounds)
                 columns = {"doc_id": batch.column("doc_id"), "ids": lists, "text": pa.array(texts, pa.string())}
                 if check:
-                    same = [a == b for a, b in zip(texts, library(path).decode(lists.to_pylist()))]
+                    each = [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(batch.num_rows)]
+                    same = [a == b for a, b in zip(texts, library(path).decode(each))]
                     columns["agrees"] = pc.and_(batch.column("agrees"), pa.array(same, pa.bool_()))
                 yield pa.RecordBatch.from_pydict(columns)
 
