@@ -101,7 +101,13 @@ def txn(
         orders = orders.where(F.col("o_orderstatus") != code_of[but])
     if above is not None:
         orders = orders.where(F.col("o_totalprice") > float(above))
-    out = orders.select(
+    out = as_txn(orders, status)
+    return out if above is None else out.where(F.col("amount") > F.lit(above).cast(fn.MONEY))
+
+
+def as_txn(orders: DataFrame, status: str | None = None) -> DataFrame:
+    """Rows of the orders table, stored or streamed, as transactions."""
+    return orders.select(
         F.col("o_orderkey").alias("txn_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").cast(fn.MONEY).alias("amount"),
@@ -110,7 +116,6 @@ def txn(
         F.col("o_orderdate").alias("ts"),
         *pos_of(orders),
     )
-    return out if above is None else out.where(F.col("amount") > F.lit(above).cast(fn.MONEY))
 
 
 TXN = """txn AS (

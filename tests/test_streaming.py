@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from purseflow.session import fresh_path
-from purseflow.streaming import jobs
+from purseflow.streaming import arrivals, jobs
 
 SCHEMA = "txn_id bigint, user_id bigint, category string, status string, amount decimal(18,2), ts timestamp_ntz"
 START = datetime(2024, 1, 1)
@@ -92,9 +92,89 @@ def test_velocity_reports_only_complete_minutes(spark):
     assert got == [(0, 3), (1, 2)]
 
 
-def test_batch_stats_count_alerts(spark):
+def record_run(spark, path, out):
+    record = lambda batch, number, table: jobs.batch_record(batch, number, table, 480_000)
+    return jobs.run_to_table(source(spark, path), "records", per_batch=record, path=out)
+
+
+def test_one_record_per_batch_goes_on_after_a_restart_and_is_replaced(spark):
+    path, out = fresh_path(spark, "in"), fresh_path(spark, "out")
+    deliver(spark, path, (1, 1, "Food", "FAILED", "500000", 100), (2, 1, "Travel", "SUCCESS", "5.50", 0))
+    record_run(spark, path, out)
+    deliver(spark, path, (3, 1, "Food", "FAILED", "480000", 70), (4, 1, None, "SUCCESS", "1", 71), (5, 1, "Food", None, "2", 0))
+    table = record_run(spark, path, out)
+    rows = lambda: [tuple(r) for r in jobs.read_appended(spark, table).orderBy("batch_id").collect()]
+    top = lambda s: START + timedelta(seconds=s)
+    want = [
+        (2, 0, 1, top(100), "Food=500000.00;Travel=5.50", "FAILED=1;SUCCESS=1", 0),
+        (3, 2, 0, top(71), "?=1.00;Food=480002.00", "?=1;FAILED=1;SUCCESS=1", 1),
+    ]
+    assert rows() == want
+    again = spark.read.schema(SCHEMA).parquet(path).where("txn_id > 2")
+    jobs.batch_record(again, 1, table, 480_000).write.mode("overwrite").parquet(f"{table}/batch_id=1")
+    assert rows() == want
+
+
+def test_an_empty_batch_has_a_record(spark):
     path = fresh_path(spark, "in")
-    deliver(spark, path, (1, 1, "Food", "FAILED", "500000", 0), (2, 1, "Food", "FAILED", "5", 0))
-    batch = spark.read.parquet(path).withColumn("slice", F.lit(0))
-    got = jobs.batch_stats(batch, 480_000).first()
-    assert (got.records, got.revenue, got.alerts) == (2, Decimal("500005.00"), 1)
+    deliver(spark, path)
+    row = jobs.batch_record(spark.read.schema(SCHEMA).parquet(path), 0, path, 1).first()
+    assert (row.records, row.late, row.alerts, row.top, row.revenue_by_category) == (0, 0, 0, None, "")
+
+
+def timed(spark, n, seconds):
+    rows = [(i, i % 7, "Food", "SUCCESS", Decimal("1"), START + timedelta(seconds=seconds * i)) for i in range(n)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_state_stays_bounded_over_many_deliveries(spark):
+    rows, path, progress = timed(spark, 600, 60), fresh_path(spark, "landing"), []
+    times = arrivals.schedule(rows)
+    assert times.n == arrivals.DELIVERIES
+    arrivals.deliver(rows, times, path, range(times.n))
+    table = jobs.run_to_table(jobs.tumbling_totals(arrivals.landed(spark, path, rows.schema)), "windows", progress=progress)
+    windows = jobs.read_appended(spark, table)
+    assert windows.select("batch_id").distinct().count() >= 10
+    assert windows.agg(F.sum("n_rows")).first()[0] == 595  # the last window is still open
+    held = [p.stateOperators[0].numRowsTotal for p in progress]
+    assert len(held) >= times.n and max(held) <= 12 < windows.count()
+
+
+def test_rows_behind_the_watermark_are_dropped_and_counted_per_batch(spark):
+    rows, path, out = timed(spark, 600, 60), fresh_path(spark, "landing"), fresh_path(spark, "out")
+    times = arrivals.schedule(rows)
+    behind = lambda k: [arrivals.in_span(rows, times, k - 3).limit(3).withColumn("txn_id", F.col("txn_id") + 1_000)] if k == 5 else []
+    arrivals.deliver(rows, times, path, range(times.n), behind)
+    stream = lambda: arrivals.landed(spark, path, rows.schema)
+    windows = jobs.read_appended(spark, jobs.run_to_table(jobs.tumbling_totals(stream()), "windows"))
+    assert windows.agg(F.sum("n_rows")).first()[0] == 595
+    table = record_run(spark, f"{path}/*", out)
+    late = {r.batch_id: (r.records, r.late) for r in jobs.read_appended(spark, table).collect()}
+    assert late == {k: (53, 3) if k == 5 else (50, 0) for k in range(12)}
+
+
+def test_more_rows_mean_more_deliveries(spark):
+    rows = timed(spark, 100, 60)
+    assert arrivals.schedule(rows, size=5).n == 20
+    times = arrivals.schedule(rows, size=5)
+    assert sum(arrivals.in_span(rows, times, k).count() for k in range(times.n)) == 100
+    assert arrivals.schedule(rows.limit(0)) is None
+
+
+def test_stored_files_are_streamed_in_place_in_bounded_batches(spark):
+    path, out = fresh_path(spark, "in"), fresh_path(spark, "out")
+    for i in range(6):
+        deliver(spark, path, *[(10 * i + j, 1, "Food", "SUCCESS", "1", j) for j in range(10)])
+    size = max(f.length for f in spark.read.format("binaryFile").load(f"{path}/*.parquet").select("length").collect())
+    stream = jobs.file_stream(spark, path, SCHEMA, max_bytes=2 * size + 1)
+    rows = jobs.read_appended(spark, jobs.run_to_table(stream, "bounded", path=out))
+    sizes = [r["count"] for r in rows.groupBy("batch_id").count().collect()]
+    assert sum(sizes) == 60 and len(sizes) >= 3 and max(sizes) <= 20
+
+
+def test_a_filtered_delivery_reads_only_its_time(spark):
+    path = fresh_path(spark, "table")
+    timed(spark, 100, 60).write.parquet(path)
+    rows = spark.read.schema(SCHEMA).parquet(path)
+    plan = arrivals.in_span(rows, arrivals.schedule(rows), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan and "Exchange" not in plan
