@@ -11,7 +11,7 @@ Windows that can't matter are cut short before they are shuffled. A phrase with
 neighbouring words and keeps those pairs in a bit map of fixed size; a window ends, padded,
 where a pair isn't in it. Too many pairs in the map cost time, never a count: what is counted
 is words, and each prefix that can reach ``min_count`` is complete. Workers add up equal
-windows of some million words before Spark sees them, so a very common phrase is a few rows.
+windows of a million words before Spark sees them, so a very common phrase is a few rows.
 
 Null and empty texts have no words, a null language is ``und`` (and joins one of that name),
 repeated rows count again, ties are in the order stated, other columns are left out, an
@@ -38,8 +38,8 @@ LONGEST = 4
 COVERED = 80  # percent of a phrase's occurrences that a longer one may have without replacing it
 TOP = 2000
 NO_LANGUAGE = "und"
-UNIT_WORDS = 2_000_000  # words whose equal windows a worker adds up at once
-UNIT_PAIRS = 4_000_000
+UNIT_WORDS = 1_000_000  # words whose equal windows a worker adds up at once
+UNIT_PAIRS = 2_000_000
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
