@@ -37,12 +37,7 @@ def upsert_latest(
 ) -> DataFrame:
     """The stored table after replacing the keys that came again; the latest version wins."""
     both = existing.unionByName(incoming)
-    rest = [c for c in both.columns if c not in keys]
-    return (
-        both.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), version).alias("last"))
-        .select(*keys, "last.*")
-    )
+    return head_per_group(both, keys, [version.desc()], 1).drop("nth")
 
 
 def numbered_batches(raw: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from ..operators import ingest, joins, rules
+from ..operators import ingest, joins, rules, stored
 from ..session import fresh_path, stage, write_table
 from ..sources import files
 from ..sources import tables as t
@@ -76,16 +76,16 @@ def run(spark: SparkSession, folder: str, out: str) -> DataFrame:
     bronze = write_table(t.raw(spark, folder).observe(seen_in, n), f"{out}/bronze")
     rows = checked(bronze)
     valid, rejected = rows.where(F.size("errors") == 0), rows.where(F.size("errors") > 0)
-    stored = write_table(
+    silvered = write_table(
         silver(valid, t.raw_users(spark, folder)).observe(seen_out, n), f"{out}/silver"
     )
     write_table(rejected, f"{out}/rejects")
     files.write_partitioned(
-        stored.withColumns({"p_year": F.col("year"), "p_month": F.substring("month", 6, 2)}),
+        silvered.withColumns({"p_year": F.col("year"), "p_month": F.substring("month", 6, 2)}),
         f"{out}/lake",
         ["p_year", "p_month"],
     )
-    write_table(monthly_gold(stored), f"{out}/gold_monthly")
+    write_table(monthly_gold(silvered), f"{out}/gold_monthly")
     n_in, n_out = seen_in.get["n"], seen_out.get["n"]
     metrics = spark.createDataFrame(
         [(n_in, n_out, n_in - n_out)], "records_in bigint, records_out bigint, rejected bigint"
@@ -175,11 +175,11 @@ def medallion_gold(spark: SparkSession, folder: str) -> DataFrame:
     return gold.withColumns({c: fn.dbl(F.col(c)) for c in ("revenue", "gst")})
 
 
-def daily_load(existing: DataFrame | None, raw: DataFrame, gate: int = rules.GATE_PERCENT) -> DataFrame:
-    """Gate, transform, and replace rows by id; the last write of an id wins."""
+def transformed(raw: DataFrame, gate: int = rules.GATE_PERCENT) -> DataFrame:
+    """Gate a delivery and transform its valid rows."""
     rules.require_quality(raw, gate)
     amount = rules.strict_amount(F.col("amount")).cast(fn.MONEY)
-    rows = raw.where(rules.gate_condition()).select(
+    return raw.where(rules.gate_condition()).select(
         "ordinal", "txn_id", "user_id", "merchant", "category",
         amount.alias("amount"),
         fn.gst(amount).alias("gst"),
@@ -188,13 +188,29 @@ def daily_load(existing: DataFrame | None, raw: DataFrame, gate: int = rules.GAT
         fn.is_success(F.col("status")).alias("is_success"),
         "wallet_type", "date", F.substring("date", 1, 7).alias("month"),
     )
-    stored = rows.limit(0) if existing is None else existing
-    return ingest.upsert_latest(stored, rows, ["txn_id"], F.col("ordinal"))
+
+
+def daily_load(existing: DataFrame | None, raw: DataFrame, gate: int = rules.GATE_PERCENT) -> DataFrame:
+    """Gate, transform, and replace rows by id; the last write of an id wins."""
+    rows = transformed(raw, gate)
+    before = rows.limit(0) if existing is None else existing
+    return ingest.upsert_latest(before, rows, ["txn_id"], F.col("ordinal"))
+
+
+def load_delivery(raw: DataFrame, path: str, gate: int = rules.GATE_PERCENT) -> DataFrame:
+    """Load a delivery into the table stored by month, of which only the months it touches are rewritten."""
+    rows = transformed(raw, gate)
+    stored.upsert_partitions(rows, path, ["txn_id"], ["month"], F.col("ordinal"))
+    return stored.read_stored(raw.sparkSession, path, rows.schema)
+
+
+SECOND_LOAD = "1998-01-01"  # rows from this day on come with the second delivery
 
 
 @report(
     "daily_load",
-    with_(t.RAW, f"""valid AS (SELECT *, {AMOUNT} AS a, ROW_NUMBER() OVER (PARTITION BY txn_id ORDER BY ordinal DESC) AS nth
+    with_(t.RAW, f"""valid AS (SELECT *, {AMOUNT} AS a,
+          ROW_NUMBER() OVER (PARTITION BY txn_id ORDER BY "date" >= '{SECOND_LOAD}' DESC, ordinal DESC) AS nth
           FROM raw WHERE {GATE_SQL})""",
           body=f"""SELECT txn_id, ordinal, user_id, merchant, category, {dbl('a')} AS amount,
           CAST(ROUND(a * CAST(0.18 AS DECIMAL(2,2)), 2) AS DOUBLE) AS gst,
@@ -203,5 +219,8 @@ def daily_load(existing: DataFrame | None, raw: DataFrame, gate: int = rules.GAT
           FROM valid WHERE nth = 1"""),
 )
 def daily_load_report(spark: SparkSession, folder: str) -> DataFrame:
-    loaded = daily_load(None, t.raw(spark, folder))
+    """The stored table after two deliveries; the second one also brings ids of the first."""
+    raw, path = t.raw(spark, folder), fresh_path(spark, "daily")
+    load_delivery(raw.where(F.col("date") < SECOND_LOAD), path)
+    loaded = load_delivery(raw.where(F.col("date") >= SECOND_LOAD), path)
     return loaded.withColumns({c: fn.dbl(F.col(c)) for c in ("amount", "gst", "net_amount")})

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
 from ..operators import ingest, keyed_log, rules, warehouse
 from ..operators.snapshots import VersionedTable
+from ..operators.stored import IntervalTable, row_differences
 from ..session import fresh_path, stage
 from ..sources import files, synthetic
 from ..sources import tables as t
@@ -295,14 +296,42 @@ def snapshot_history(spark: SparkSession, folder: str) -> DataFrame:
     return versioned_txn(spark, folder).history()
 
 
+def interval_txn(spark: SparkSession, folder: str) -> IntervalTable:
+    """The transactions loaded in three waves (versions 0 to 2) and then updated (version 3)."""
+    table = IntervalTable(spark, fresh_path(spark, "intervals"), SNAPSHOT_SCHEMA, ["txn_id"])
+    rows = t.txn(spark, folder)
+    first, second = [F.lit(c).cast("timestamp_ntz") for c in CUTS]
+    ts = F.col("ts")
+    for version, wave in enumerate([ts < first, (ts >= first) & (ts < second), ts >= second]):
+        table.append(rows.where(wave), version)
+    table.update(
+        (F.col("status") == "FAILED") & (F.col("amount") > F.lit(VERY_HIGH_SUCCESS).cast(fn.MONEY)),
+        {"status": F.lit("PENDING")},
+        3,
+    )
+    return table
+
+
 @report("snapshot_as_of", with_(t.TXN, VERSIONS, body=f"SELECT {SNAP_COLS} FROM loads WHERE wave <= 1"))
 def snapshot_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(versioned_txn(spark, folder).as_of(1))
+    return shown(interval_txn(spark, folder).as_of(1))
 
 
 @report("snapshot_update", with_(t.TXN, VERSIONS, body=f"SELECT {SNAP_COLS} FROM updated"))
 def snapshot_update(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(versioned_txn(spark, folder).as_of())
+    return shown(interval_txn(spark, folder).as_of(3))
+
+
+@report(
+    "snapshot_intervals",
+    with_(t.TXN, VERSIONS, f"hit AS (SELECT * FROM loads WHERE status = 'FAILED' AND amount > {VERY_HIGH_SUCCESS})",
+          body=f"""SELECT {SNAP_COLS}, CAST(wave AS INTEGER) AS since,
+          CAST(CASE WHEN txn_id IN (SELECT txn_id FROM hit) THEN 3 END AS INTEGER) AS until FROM loads
+          UNION ALL SELECT txn_id, user_id, {dbl('amount')}, 'PENDING', ts, 3, NULL FROM hit"""),
+)
+def snapshot_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row with the versions from and before which it holds."""
+    return shown(interval_txn(spark, folder).intervals())
 
 
 @report(
@@ -310,8 +339,12 @@ def snapshot_update(spark: SparkSession, folder: str) -> DataFrame:
     with_(t.TXN, VERSIONS, COMMITS, body="SELECT n_changed AS changed, n_rows - n_changed AS unchanged FROM commits WHERE version = 3"),
 )
 def snapshot_update_counts(spark: SparkSession, folder: str) -> DataFrame:
-    last = versioned_txn(spark, folder).commits().where("action = 'UPDATE'")
-    return last.select(F.col("n_changed").alias("changed"), (F.col("n_rows") - F.col("n_changed")).alias("unchanged"))
+    counts = interval_txn(spark, folder).counts()
+    last = F.col("version") == 3
+    return counts.agg(
+        F.sum(F.when(last, F.col("opened"))).alias("changed"),
+        (F.sum(F.when(~last, F.col("opened"))) - F.sum("closed")).alias("unchanged"),
+    )
 
 
 @report(
@@ -322,7 +355,30 @@ def snapshot_update_counts(spark: SparkSession, folder: str) -> DataFrame:
     )),
 )
 def snapshot_version_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return versioned_txn(spark, folder).visible_counts()
+    """Rows visible at each version; the window runs over one row per version."""
+    upto = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, 0)
+    counts = interval_txn(spark, folder).counts()
+    return counts.select("version", F.sum(F.col("opened") - F.col("closed")).over(upto).alias("visible_rows"))
+
+
+@report(
+    "snapshot_diff",
+    with_(t.TXN, VERSIONS,
+          "older AS (SELECT * FROM loads WHERE wave <= 1 AND user_id % 11 <> 3)",
+          body=f"""SELECT coalesce(o.txn_id, u.txn_id) AS txn_id,
+          CASE WHEN o.txn_id IS NULL THEN 'added' WHEN u.txn_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+          o.user_id AS old_user_id, {dbl('o.amount')} AS old_amount, o.status AS old_status, o.ts AS old_ts,
+          u.user_id AS new_user_id, {dbl('u.amount')} AS new_amount, u.status AS new_status, u.ts AS new_ts
+          FROM older o FULL OUTER JOIN (SELECT * FROM updated WHERE user_id % 13 <> 5) u ON o.txn_id = u.txn_id
+          WHERE o.txn_id IS NULL OR u.txn_id IS NULL OR (o.user_id, o.amount, o.status, o.ts)
+          IS DISTINCT FROM (u.user_id, u.amount, u.status, u.ts)"""),
+)
+def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """What differs between the state at version 1 and the last one, when each lacks some users."""
+    table = interval_txn(spark, folder)
+    before, after = table.as_of(1).where("user_id % 11 <> 3"), table.as_of(3).where("user_id % 13 <> 5")
+    found = row_differences(before, after, ["txn_id"])
+    return found.withColumns({c: fn.dbl(F.col(c)) for c in ("old_amount", "new_amount")})
 
 
 @report(
