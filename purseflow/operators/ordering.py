@@ -8,10 +8,13 @@ reports its size; the offsets are a prefix sum over one row per range.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 from .joins import join_group_stats, join_on_groups
@@ -73,15 +76,73 @@ def positions(
 
 
 def ranks(df: DataFrame, by: Sequence[str], value: Column, key: str) -> DataFrame:
-    """RANK() of every row within its group by ``value`` descending."""
-    numbered = positions(
-        df.withColumn("sort_value", value), [F.col("sort_value").desc(), F.col(key)], by, "ranked"
+    """RANK() of every row within its group by ``value`` descending, with one shuffle.
+
+    Rows lie in ranges in order of group, value and key, so the rows of a tie are neighbours
+    and only the first and last tie of a range can go on in another one. A pass over the
+    sorted rows in Arrow batches notes where each row's tie and group begin in its range; where
+    they go on from earlier ranges is found from one row per range, which is broadcast.
+    A tie or a group may span any number of ranges.
+    """
+    group, sort_value = [F.col(c) for c in by], F.col("sort_value")
+    valued = df.withColumn("sort_value", value)
+    marks = [F.lit(0), *group, *[c.isNull() for c in group]]
+    order = [*group, sort_value.desc(), F.col(key)]
+    sorted_rows = (
+        valued.withColumns({"in_group": F.xxhash64(*marks), "in_tie": F.xxhash64(*marks, sort_value, sort_value.isNull())})
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("sort_value")
+        .withColumn("slot", F.monotonically_increasing_id())
+    )
+    schema = T.StructType([*sorted_rows.schema.fields, *[T.StructField(c, T.LongType()) for c in ("tie_at", "group_at")]])
+    mask = (1 << _PART_BITS) - 1
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = {"in_tie": None, "in_group": None}
+        begun = {"in_tie": 0, "in_group": 0}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = batch.column("slot").to_numpy() & mask
+            starts = []
+            for name in last:
+                hashes = batch.column(name).to_numpy()
+                new = np.append(hashes[0] != last[name], hashes[1:] != hashes[:-1])
+                at = np.maximum.accumulate(np.where(new, place, begun[name]))
+                last[name], begun[name] = hashes[-1], at[-1]
+                starts.append(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *starts], names=schema.names)
+
+    slot = F.col("slot")
+    spot = stage(sorted_rows.mapInArrow(marked, schema), "ranked").withColumns(
+        {"part": F.shiftright(slot, _PART_BITS).cast("int"), "local": slot.bitwiseAND(F.lit(mask))}
+    )
+    ranges = spot.groupBy("part").agg(
+        F.count("*").alias("size"),
+        F.min_by(F.struct("in_tie", "in_group"), "local").alias("first"),
+        F.max_by(F.struct("in_tie", "in_group", "tie_at", "group_at"), "local").alias("last"),
+    )
+    in_turn = Window.orderBy("part")  # one row per range
+    before = in_turn.rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.lag("last").over(in_turn)
+    placed = _part_offsets(ranges).join(ranges.drop("size"), "part").withColumns(
+        {f"{c}_on": F.coalesce(F.col(f"first.in_{c}") == previous[f"in_{c}"], F.lit(False)) for c in ("tie", "group")}
     )
-    ties = numbered.groupBy(*by, "sort_value").agg(
-        F.min("pos").alias("first_pos"), F.count("*").alias("n_ties")
+    # where the last tie and group of a range begin, unless they go on from before it
+    opened = {
+        c: F.when(~F.col(f"{c}_on") | (F.col(f"last.{c}_at") > 0), F.col("base") + F.col(f"last.{c}_at"))
+        for c in ("tie", "group")
+    }
+    carried = placed.withColumns({f"{c}_from": F.last(opened[c], True).over(before) for c in opened})
+    joined = spot.join(
+        F.broadcast(carried.select("part", "base", "tie_on", "group_on", "tie_from", "group_from")), "part"
     )
-    joined = join_group_stats(numbered, ties, [*by, "sort_value"], "n_ties")
-    return joined.select(*df.columns, (F.col("first_pos") + 1).alias("rnk"))
+    begin = {
+        c: F.when((F.col(f"{c}_at") == 0) & F.col(f"{c}_on"), F.col(f"{c}_from")).otherwise(F.col("base") + F.col(f"{c}_at"))
+        for c in ("tie", "group")
+    }
+    return joined.select(*df.columns, (begin["tie"] - begin["group"] + 1).alias("rnk"))
 
 
 def order_statistics(df: DataFrame, value: str, picks: dict[str, Column]) -> DataFrame:

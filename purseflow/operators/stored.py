@@ -48,8 +48,8 @@ def upsert_partitions(delivery: DataFrame, path: str, keys: Sequence[str], by: S
 
     ``by`` names the folder columns, which a key may change. The latest row of a key in the
     delivery (by ``version``) wins over stored ones. The stored table is searched by its keys
-    alone; whole rows are read only in folders that hold a delivered key or receive one. Their
-    list is as short as the listing of the folders. The rows kept there and the delivered
+    alone, which gives one row per folder; whole rows are read only in folders that hold a
+    delivered key or receive one. The rows kept there and the delivered
     ones go into a dynamic partition overwrite, and a folder that lost its last row is removed
     afterwards. A delivery may be repeated.
     """
@@ -60,11 +60,23 @@ def upsert_partitions(delivery: DataFrame, path: str, keys: Sequence[str], by: S
         return
     old = read_stored(spark, path, newest.schema)
     into = {tuple(r) for r in newest.select(*by).distinct().collect()}
-    hit = {tuple(r) for r in old.select(*keys, *by).join(newest.select(*keys), keys, "left_semi").select(*by).distinct().collect()}
     if not into:
         return
-    emptied = _emptied(old, newest, keys, by, hit - into)
-    there = old.where(_in_partitions(by, sorted(into | hit, key=repr)))
+    came = newest.select(*keys, F.lit(True).alias("_came"))
+    folders = (
+        old.select(*keys, *by, F.col("_metadata.file_path").alias("_file"))
+        .join(came, keys, "left")
+        .groupBy(*by)
+        .agg(
+            F.bool_or(F.col("_came").isNotNull()).alias("any"),
+            F.bool_and(F.col("_came").isNotNull()).alias("all"),
+            F.min("_file").alias("file"),
+        )
+        .where("any")
+        .collect()
+    )
+    hit = {tuple(r[c] for c in by): r for r in folders}
+    there = old.where(_in_partitions(by, sorted(into | hit.keys(), key=repr)))
     kept = there.join(newest.select(*keys), keys, "left_anti").select(*newest.columns)
     (
         kept.unionByName(newest)
@@ -74,21 +86,11 @@ def upsert_partitions(delivery: DataFrame, path: str, keys: Sequence[str], by: S
         .partitionBy(*by)
         .parquet(path)
     )
-    for folder in emptied:
-        where, files = _path(spark, folder)
-        files.delete(where, True)
-
-
-def _emptied(old: DataFrame, newest: DataFrame, keys: list[str], by: list[str], left: set[tuple]) -> list[str]:
-    """The folders all of whose rows move elsewhere: an overwrite, which brings them no row, leaves them."""
-    if not left:
-        return []
-    rows = old.where(_in_partitions(by, sorted(left, key=repr))).select(
-        *keys, *by, F.col("_metadata.file_path").alias("file")
-    )
-    came = newest.select(*keys, F.lit(True).alias("came"))
-    folders = rows.join(came, keys, "left").groupBy(*by).agg(F.min("file").alias("file"), F.bool_and(F.col("came").isNotNull()).alias("all"))
-    return [r.file.rpartition("/")[0] for r in folders.where("all").select("file").collect()]
+    # no row came for a folder that lost all of its rows, so the overwrite has left it alone
+    for key, r in hit.items():
+        if r["all"] and key not in into:
+            where, files = _path(spark, r["file"].rpartition("/")[0])
+            files.delete(where, True)
 
 
 class IntervalTable:

@@ -285,9 +285,10 @@ def describe_amount(spark: SparkSession, folder: str) -> DataFrame:
         fn.dbl(F.min("amount")).alias("min_amount"),
         fn.dbl(F.max("amount")).alias("max_amount"),
     )
-    cuts = stage(percentiles(df, "amount", [25, 50, 75, 95]), "cuts")  # one row
+    cuts = percentiles(df, "amount", [25, 50, 75, 95])  # one row, read once
     named = {"p25": "p25", "median": "p50", "p75": "p75", "p95": "p95"}
-    return moments.withColumns({k: cuts.select(c).scalar() for k, c in named.items()})
+    row = cuts.select(F.struct(*[F.col(c).alias(k) for k, c in named.items()])).scalar()
+    return moments.withColumn("cuts", row).select("*", "cuts.*").drop("cuts")
 
 
 @report(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from ..operators import joins, ordering, rules
+from ..operators import counting, joins, ordering, rules
 from ..session import stage
 from ..sources import tables as t
 from .aggregates import HIGH_FAILED, HIGH_VALUE
@@ -177,12 +177,14 @@ def dq_null_profile(spark: SparkSession, folder: str) -> DataFrame:
     COUNT(DISTINCT user_id) AS unique_users FROM raw"""),
 )
 def dq_completeness(spark: SparkSession, folder: str) -> DataFrame:
-    return t.raw(spark, folder).agg(
-        F.count("*").alias("n_rows"),
-        (F.count("*") - F.count_distinct("txn_id")).alias("duplicate_ids"),
-        F.count_if(fn.blank(F.col("amount"))).alias("null_amounts"),
-        F.count_if(fn.blank(F.col("user_id"))).alias("null_users"),
-        F.count_distinct("user_id").alias("unique_users"),
+    counts = {
+        "n_rows": F.count("*"),
+        "null_amounts": F.count_if(fn.blank(F.col("amount"))),
+        "null_users": F.count_if(fn.blank(F.col("user_id"))),
+    }
+    found = counting.totals_with_distinct(t.raw(spark, folder), counts, {"ids": "txn_id", "unique_users": "user_id"})
+    return found.select(
+        "n_rows", (F.col("n_rows") - F.col("ids")).alias("duplicate_ids"), "null_amounts", "null_users", "unique_users"
     )
 
 

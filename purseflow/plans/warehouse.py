@@ -517,6 +517,53 @@ def parse_app_log(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.select("txn_id", F.col("ts").cast("timestamp_ntz").alias("ts"), fn.dbl(F.col("amount")).alias("amount"), "status")
 
 
+CSV_SCHEMA = "txn_id bigint, user_id bigint, amount decimal(18,2), status string, category string, ts timestamp_ntz"
+CSV_LINES = """lined AS (SELECT *, CAST(txn_id AS VARCHAR) || ',' || CAST(user_id AS VARCHAR) || ',' ||
+    CASE WHEN txn_id % 37 = 5 THEN 'n/a' WHEN txn_id % 31 = 3 THEN '' ELSE CAST(amount AS VARCHAR) END AS head,
+    status || ',' || CASE WHEN txn_id % 29 = 2 THEN '"' || category || ', other"' ELSE category END || ',' ||
+    CASE WHEN txn_id % 53 = 13 THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS tail,
+    txn_id % 41 = 7 AS is_short, txn_id % 43 = 9 AS is_long FROM txn),
+csv_lines AS (SELECT *, CASE WHEN is_short THEN head WHEN is_long THEN head || ',' || tail || ',more' ELSE head || ',' || tail END AS line,
+    is_short OR is_long OR txn_id % 37 = 5 OR txn_id % 53 = 13 AS broken FROM lined)"""
+
+
+def txn_csv(spark: SparkSession, folder: str) -> str:
+    """The transactions as CSV lines, some of them with unreadable, missing or surplus fields."""
+    key, path = F.col("txn_id"), fresh_path(spark, "txn_csv")
+    amount = F.when(key % 37 == 5, "n/a").when(key % 31 == 3, "").otherwise(F.col("amount").cast("string"))
+    category = F.when(key % 29 == 2, F.concat(F.lit('"'), "category", F.lit(', other"'))).otherwise(F.col("category"))
+    ts = F.when(key % 53 == 13, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    head = [key.cast("string"), F.col("user_id").cast("string"), amount]
+    tail = [F.col("status"), category, ts]
+    line = (
+        F.when(key % 41 == 7, F.concat_ws(",", *head))
+        .when(key % 43 == 9, F.concat_ws(",", *head, *tail, F.lit("more")))
+        .otherwise(F.concat_ws(",", *head, *tail))
+    )
+    t.txn(spark, folder).select(line.alias("value")).write.text(path)
+    return path
+
+
+def checked_txn_csv(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return files.read_checked_csv(spark, txn_csv(spark, folder), CSV_SCHEMA, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+
+
+@report(
+    "csv_typed_rows",
+    with_(t.TXN, CSV_LINES, body=f"""SELECT txn_id, user_id, CASE WHEN txn_id % 31 <> 3 THEN {dbl('amount')} END AS amount, status,
+    category || CASE WHEN txn_id % 29 = 2 THEN ', other' ELSE '' END AS category, ts FROM csv_lines WHERE NOT broken"""),
+)
+def csv_typed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions read back from CSV with declared types."""
+    return shown(checked_txn_csv(spark, folder)[0])
+
+
+@report("csv_rejects", with_(t.TXN, CSV_LINES, body="SELECT line FROM csv_lines WHERE broken"))
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of the same files that could not be read, as they are."""
+    return checked_txn_csv(spark, folder)[1]
+
+
 @report("file_inventory")
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
     return files.inventory(spark, folder)

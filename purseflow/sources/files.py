@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import scalar as fn
 from ..operators.joins import BROADCAST_FILES
+from ..session import stage
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -46,6 +47,27 @@ def read_typed_csv(spark: SparkSession, path: str, columns: Sequence[str], times
     return rows.withColumns({c: e for c, e in typed.items() if c in rows.columns})
 
 
+UNREADABLE = "_unreadable"
+
+
+def read_checked_csv(spark: SparkSession, path: str, schema: str, **options: str) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of CSV files, and as text the lines that don't fit the schema (``line``).
+
+    A line with a value of another type or with too few or too many fields is a reject; an
+    empty field is NULL. Both results come from one scan of the files, which is written once.
+    """
+    rows = (
+        spark.read.schema(f"{schema}, {UNREADABLE} string")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", UNREADABLE)
+        .options(**options)
+        .csv(path)
+    )
+    known = stage(rows, "checked_csv")
+    good = known.where(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
+    return good, known.where(F.col(UNREADABLE).isNotNull()).select(F.col(UNREADABLE).alias("line"))
+
+
 def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     # few large files per folder, and a hot folder split over several tasks
     rows = df.hint("rebalance", *by) if by else df

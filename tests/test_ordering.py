@@ -5,9 +5,10 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from purseflow.operators import joins, ordering
+from purseflow.operators import counting, joins, ordering
 
 
 def rows(seed: int, n: int = 400):
@@ -170,3 +171,29 @@ def test_rolling_sum_of_nulls_over_several_ranges(spark):
         "SELECT id, SUM(v) OVER (PARTITION BY grp ORDER BY id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS s FROM rolling_rows"
     )
     assert got == {r.id: r.s for r in want.collect()}
+
+
+@pytest.mark.parametrize("values", [[5], [1, 2], [None, 3], list(range(400)), [None]])
+def test_ranks_of_ties_over_many_ranges(spark, values):
+    """One tie, and one group, may go on over several ranges; missing groups and values are groups and ties too."""
+    rows = [(["a", "b", None][i % 3] if i % 7 else "hot", values[(i * 31) % len(values)], i) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "g string, v int, id int").repartition(5)
+    got = {r.id: r.rnk for r in ordering.ranks(df, ["g"], F.col("v"), "id").collect()}
+    w = Window.partitionBy("g").orderBy(F.col("v").desc())
+    assert got == {r.id: r.rnk for r in df.withColumn("rnk", F.rank().over(w)).collect()}
+
+
+def test_ranks_without_groups_and_without_rows(spark):
+    df = spark.createDataFrame([(i % 4, i) for i in range(50)], "v int, id int")
+    got = {r.id: r.rnk for r in ordering.ranks(df, [], F.col("v"), "id").collect()}
+    assert got == {i: 1 + sum(j % 4 > i % 4 for j in range(50)) for i in range(50)}
+    assert ordering.ranks(df.limit(0), [], F.col("v"), "id").collect() == []
+
+
+def test_totals_with_distinct_counts(spark):
+    rows = [("a", 1, 5), ("a", None, 5), (None, 2, None), ("b", 1, 5), (None, 2, 7)]
+    df = spark.createDataFrame(rows, "x string, y int, z int")
+    counts = {"n": F.count("*"), "big": F.count_if(F.col("z") > 5)}
+    got = counting.totals_with_distinct(df, counts, {"xs": "x", "ys": "y", "zs": "z"}).first()
+    assert got.asDict() == {"n": 5, "big": 1, "xs": 2, "ys": 2, "zs": 2}
+    assert tuple(counting.totals_with_distinct(df.limit(0), counts, {"xs": "x", "ys": "y"}).first()) == (0, 0, 0, 0)

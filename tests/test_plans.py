@@ -62,3 +62,18 @@ def test_no_python_in_any_plan(spark, folder):
     for name in ["clean_rows", "clean_string", "dq_score", "silver_txns", "synth_txns", "replicate_11x"]:
         plan = explain(REPORTS[name](spark, folder))
         assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_ranks_need_one_range_exchange_and_no_second_shuffle_of_rows(spark, folder):
+    plan = explain(REPORTS["w_rank_category"](spark, folder))
+    # the ranges are stored; what is left is one row per range, broadcast
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 1
+
+
+def test_distinct_counts_do_not_multiply_rows(spark, folder):
+    assert "Expand" not in explain(REPORTS["dq_completeness"](spark, folder))
+
+
+def test_a_filter_on_the_calendar_prunes_the_lake_at_run_time(spark, folder):
+    plan = explain(REPORTS["lake_first_quarter"](spark, folder))
+    assert re.search(r"PartitionFilters: .*dynamicpruning", plan)

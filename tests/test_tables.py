@@ -222,3 +222,15 @@ def test_shared_folder_comes_from_the_session(spark):
         assert shared_dir(spark) == named.rstrip("/")
     else:
         assert shared_dir(spark).startswith("/tmp/run-")
+
+
+def test_checked_csv_keeps_unreadable_lines(spark):
+    path = fresh_path(spark, "csv")
+    lines = ["1,2.50,x", "two,1,y", "3,,z", '4,7,"a, b"', "5,1", "6,1,x,more", "", "8,1.005,", "9,abc,q"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    good, rejects = files.read_checked_csv(spark, path, "id int, amount decimal(9,2), name string")
+    assert sorted(tuple(r) for r in good.where("id <> 8").collect()) == [
+        (1, Decimal("2.50"), "x"), (3, None, "z"), (4, Decimal("7.00"), "a, b")
+    ]
+    assert {r.line for r in rejects.collect()} >= {"two,1,y", "5,1", "6,1,x,more", "9,abc,q"}
+    assert good.count() + rejects.count() == 8  # the empty line is none
