@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
-from ..operators import ordering
+from ..operators import joins, ordering
 from ..session import stage
 from ..sources import tables as t
 from .registry import avg2, dbl, mln2, pct2, report, with_
@@ -492,6 +492,24 @@ def group_collect(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@report(
+    "group_rows",
+    with_(t.TXN, body=f"""SELECT category, ROW_NUMBER() OVER (PARTITION BY category ORDER BY txn_id) - 1 AS nth,
+    COUNT(*) OVER (PARTITION BY category) AS n_rows, txn_id, user_id, {dbl('amount')} AS amount, status, ts FROM txn"""),
+)
+def group_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole rows by group: each with its place in its group and the group's size, laid out in that order.
+
+    A group may be of any size, as it spans as many ranges as it needs.
+    """
+    rows = ordering.positions(t.txn(spark, folder), [F.col("txn_id")], ["category"])
+    sizes = t.txn(spark, folder).groupBy("category").agg(n_rows("n_rows"))
+    joined = joins.join_on_groups(rows, joins.broadcast_if_small(sizes), ["category"], "inner")
+    return joined.select(
+        "category", F.col("pos").alias("nth"), "n_rows", "txn_id", "user_id", fn.dbl(F.col("amount")).alias("amount"), "status", "ts"
+    )
+
+
 # The dashboard reads the cleaned and enriched transactions; success is a flag there.
 
 

@@ -159,6 +159,22 @@ def enrich_users(spark: SparkSession, folder: str) -> DataFrame:
     return joins.lookup(rows, dim, "user_id", {"city": t.UNKNOWN, "kyc_status": t.UNKNOWN})
 
 
+@report(
+    "enrich_repeated_users",
+    with_(t.TXN, t.USERS, t.RAW, t.REPEATED_USERS,
+          "latest AS (SELECT * FROM repeated_users QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY source_key DESC) = 1)",
+          body="""SELECT ordinal, user_id, COALESCE(city, 'Unknown') AS city, COALESCE(kyc_status, 'Unknown') AS kyc_status, category, status
+          FROM raw LEFT JOIN latest USING (user_id)"""),
+)
+def enrich_repeated_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The same enrichment from a source that repeats users: the last row of a user wins."""
+    known = t.repeated_users(spark, folder).select("user_id", "city", "kyc_status", "source_key")
+    last = ordering.head_per_group(known, ["user_id"], [F.col("source_key").desc()], 1)
+    dim = stage(last.select("user_id", "city", "kyc_status"), "users")
+    rows = t.raw(spark, folder).select("ordinal", "user_id", "category", "status")
+    return joins.lookup(rows, dim, "user_id", {"city": t.UNKNOWN, "kyc_status": t.UNKNOWN})
+
+
 @report(
     "join_match_report",
     with_(t.TXN, t.USERS, t.RAW, t.RAW_USERS, body="""SELECT COUNT(u.user_id) AS matched,

@@ -156,6 +156,17 @@ def dim_user(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.dim_user(t.raw_users(spark, folder))
 
 
+@report(
+    "dim_user_repeated",
+    with_(t.USERS, t.REPEATED_USERS,
+          "firsts AS (SELECT * FROM repeated_users QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY source_key) = 1)",
+          body="SELECT ROW_NUMBER() OVER (ORDER BY user_id) AS user_sk, user_id, city, kyc_status, city_tier FROM firsts"),
+)
+def dim_user_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """The user dimension from a source that repeats users: the first row of a user wins."""
+    return warehouse.dim_user(t.repeated_users(spark, folder))
+
+
 def dim_sql(column: str, mapping: dict[str, str], attribute: str, sk: str) -> str:
     pairs = ", ".join(f"('{k}', '{v}')" for k, v in mapping.items())
     return f"""(SELECT ROW_NUMBER() OVER (ORDER BY {column}) AS {sk}, {column}, {attribute}

@@ -278,3 +278,24 @@ def raw_users(spark: SparkSession, folder: str) -> DataFrame:
         "city_tier",
         F.col("user_id").alias("source_key"),
     )
+
+
+def repeated_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw users as a source with repeats delivers them: every seventh user comes a second time, changed.
+
+    ``source_key`` is the order of delivery: first all users, then the repeats.
+    """
+    known = raw_users(spark, folder)
+    again = known.where("source_key % 7 = 2").withColumns({
+        "city": F.concat("city", F.lit(" (moved)")),
+        "kyc_status": F.lit("RENEWED"),
+        "city_tier": F.lit(DEFAULT_TIER),
+        "source_key": F.col("source_key") + REPEAT_KEYS,
+    })
+    return known.unionByName(again)
+
+
+REPEAT_KEYS = 10**12
+REPEATED_USERS = f"""repeated_users AS (SELECT format('U{{:04d}}', user_id) AS user_id, city, kyc_status, city_tier, user_id AS source_key FROM users
+  UNION ALL SELECT format('U{{:04d}}', user_id), city || ' (moved)', 'RENEWED', '{DEFAULT_TIER}', user_id + {REPEAT_KEYS}
+  FROM users WHERE user_id % 7 = 2)"""
