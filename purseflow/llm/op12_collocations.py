@@ -7,11 +7,12 @@ shorter prefixes: each occurrence of a phrase is a prefix of exactly one window,
 is no separate explosion per phrase length. The shortest level is the number of words.
 
 Windows that can't matter are cut short before they are shuffled. A phrase with at least
-``min_count`` occurrences has only word pairs with as many, so a first pass counts hashes of
-neighbouring words and keeps those pairs in a bit map of fixed size; a window ends, padded,
-where a pair isn't in it. Too many pairs in the map cost time, never a count: what is counted
-is words, and each prefix that can reach ``min_count`` is complete. Workers add up equal
-windows of a million words before Spark sees them, so a very common phrase is a few rows.
+``min_count`` occurrences has only runs of two (and of three) words with as many, so first
+passes count hashes of such runs, those of three only where both pairs are common, and keep
+the common ones in bit maps of fixed size; a window ends, padded, where a run isn't in
+them. Too many runs in a map cost time, never a count: what is counted is words, and each
+prefix that can reach ``min_count`` is complete. Workers add up equal windows of a million
+words before Spark sees them, so a very common phrase is a few rows.
 
 Null and empty texts have no words, a null language is ``und`` (and joins one of that name),
 repeated rows count again, ties are in the order stated, other columns are left out, an
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ COVERED = 80  # percent of a phrase's occurrences that a longer one may have wit
 TOP = 2000
 NO_LANGUAGE = "und"
 UNIT_WORDS = 1_000_000  # words whose equal windows a worker adds up at once
-UNIT_PAIRS = 2_000_000
+UNIT_RUNS = 2_000_000
+THINNED = 2  # passes that look for common runs, of two words and of three
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -58,11 +61,29 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return doc, start, end, follows
 
 
-def _pair_keys(data: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray, follows: np.ndarray, lang: np.ndarray) -> np.ndarray:
-    """A hash of each word that is followed by another one, its follower and the language."""
-    words = hash_long(span_hashes(prefix_sums(data, EXACT_VALUE), start, end), data, start, end)
-    first = np.flatnonzero(follows)
-    return mix(words[first] * PLACE[0] + words[first + 1] * PLACE[1] + lang[doc[first]] * PLACE[2])
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return hash_long(span_hashes(prefix_sums(data, EXACT_VALUE), start, end), data, start, end)
+
+
+def _run_keys(words: np.ndarray, lang: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place on, and of their language."""
+    total = lang[at] * PLACE[size]
+    for k in range(size):
+        total = total + words[at + k] * PLACE[k]
+    return mix(total)
+
+
+def _common_runs(words: np.ndarray, lang: np.ndarray, follows: np.ndarray, maps: list[np.ndarray]) -> list[np.ndarray]:
+    """For sizes 2, 3, .. where a common run of so many words begins; the last size isn't looked up yet."""
+    found, run = [], follows
+    for size, cells in enumerate([*maps, None], 2):
+        if cells is not None:
+            at = np.flatnonzero(run)
+            run = run.copy()
+            run[at] = marked(cells, _run_keys(words, lang, at, size))
+        found.append(run)
+        run = run & np.append(run[1:], False)
+    return found
 
 
 def _language_hashes(languages: pa.Array) -> np.ndarray:
@@ -72,8 +93,12 @@ def _language_hashes(languages: pa.Array) -> np.ndarray:
     return hashes[encoded.indices.to_numpy()]
 
 
-def frequent_pairs(documents: DataFrame, min_count: int) -> DataFrame:
-    """``key``: hashes of neighbouring words that occur often enough, or share a hash that does."""
+def common_runs(documents: DataFrame, min_count: int, maps: list[Broadcast]) -> DataFrame:
+    """``key``: hashes of runs of words that occur often enough, or share a hash that does.
+
+    The runs have one word more than those of the last of ``maps``, of which they consist.
+    """
+    size_of_run = len(maps) + 2
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
@@ -87,9 +112,12 @@ def frequent_pairs(documents: DataFrame, min_count: int) -> DataFrame:
             languages = _language_hashes(batch.column("lang"))
             for row, stop, data, offsets in blocks(batch):
                 data = _LOWER[data]
-                kept.append(_pair_keys(data, *_words(data, offsets), languages[row:stop]))
+                doc, start, end, follows = _words(data, offsets)
+                words, lang = _word_hashes(data, start, end), languages[row:stop][doc]
+                run = _common_runs(words, lang, follows, [m.value for m in maps])[-1]
+                kept.append(_run_keys(words, lang, np.flatnonzero(run), size_of_run))
                 size += len(kept[-1])
-                if size >= UNIT_PAIRS:
+                if size >= UNIT_RUNS:
                     yield flush()
                     kept, size = [], 0
         if size:
@@ -101,7 +129,9 @@ def frequent_pairs(documents: DataFrame, min_count: int) -> DataFrame:
 
 def longest_windows(documents: DataFrame, min_count: int, longest: int, unit_words: int = UNIT_WORDS) -> DataFrame:
     """``lang, w1 .. wN, n``: windows at every word, padded with empty strings, added up per unit of words."""
-    often = bit_map(frequent_pairs(documents, min_count), "key")
+    maps: list[Broadcast] = []
+    for _ in range(min(longest - 1, THINNED)):
+        maps.append(bit_map(common_runs(documents, min_count, maps), "key"))
     names = [f"w{k}" for k in range(1, longest + 1)]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,14 +144,13 @@ def longest_windows(documents: DataFrame, min_count: int, longest: int, unit_wor
             for row, stop, data, offsets in blocks(batch):
                 data = _LOWER[data]
                 doc, start, end, follows = _words(data, offsets)
-                keys = _pair_keys(data, doc, start, end, follows, hashes[row:stop])
-                follows[follows] = marked(often.value, keys)
-                # how many words the window at each word has: itself and an unbroken run of pairs
+                runs = _common_runs(_word_hashes(data, start, end), hashes[row:stop][doc], follows, [m.value for m in maps])
+                # how many words the window at each word has: as many as all its runs are common for
                 reach = np.ones(len(doc), np.uint8)
                 run = follows
-                for _ in range(longest - 1):
+                for size in range(2, longest + 1):
+                    run = runs[size - 2] if size - 2 < len(maps) else run & np.append(run[1:], False)
                     reach += run
-                    run = follows & np.append(run[1:], False)
                 lengths = np.concatenate([[0], np.cumsum(end - start)])
                 texts.append(pa.LargeStringArray.from_buffers(len(doc), pa.py_buffer(lengths), pa.py_buffer(data[_IN_WORD[data]])))
                 reaches.append(reach)
@@ -175,17 +204,14 @@ def phrase_counts(documents: DataFrame, min_count: int = MIN_COUNT, longest: int
         F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col("text").cast("string").alias("text")
     )
     names = [f"w{k}" for k in range(1, longest + 1)]
-    summed = (
-        longest_windows(docs, min_count, longest)
-        .rollup("lang", *names)
-        .agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
-    )
+    counted = longest_windows(docs, min_count, longest).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    summed = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("rolled"))
     # the rolled-up columns are the lowest bits: 0 for whole windows, all words for a language's total
     k = sum([(F.col("rolled") < (1 << j)).cast("int") for j in range(longest)], F.lit(0))
-    counted = summed.where(F.col("rolled") < (1 << longest)).select("lang", k.alias("k"), F.array(*names).alias("words"), "f")
+    leveled = summed.where(F.col("rolled") < (1 << longest)).select("lang", k.alias("k"), F.array(*names).alias("words"), "f")
     # a prefix that ends in padding is only a part of the shorter phrase, whose own level has all of it
     whole = (F.col("k") == 0) | ((F.col("f") >= min_count) & (F.get("words", F.col("k") - 1) != ""))
-    return counted.where(whole).select("lang", "k", F.slice("words", F.lit(1), F.col("k")).alias("words"), "f")
+    return leveled.where(whole).select("lang", "k", F.slice("words", F.lit(1), F.col("k")).alias("words"), "f")
 
 
 def _phrase(words: Column) -> Column:
