@@ -10,10 +10,11 @@ sets decide the rest.
 Nothing is emitted for every pair of a group:
 
 * documents with equal sets are one class, found by a map-side aggregated signature;
-* in a band bucket every member is first compared with a few centres, then, where a bucket
-  still holds several components, with more of them, which is all of a small bucket. What
-  is left of large buckets goes through an exact prefix filter. Pairs inside one component,
-  or of too different sizes, are never made.
+* in a band bucket every member is first compared with a few centres, the members that
+  collide most often and are the same ones in many buckets;
+* members of buckets that still hold several components go through an exact prefix filter
+  with bounds on length and position. Pairs inside one component, of too different sizes, or
+  whose shared shingle comes too late in a prefix for the overlap needed, are never made.
 
 The bands miss a pair of similarity 0.75 with a probability of 5e-6 (32 bands of 4).
 """
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bitmap import bit_map, marked
@@ -38,8 +39,8 @@ SHINGLE = 5
 SIMILARITY = 0.75
 REGISTERS = 128
 BAND = 4
-CENTRES = (4, 32)  # members of a bucket that all others meet in the first and in the second round
-COUNT_BITS = 18  # cells of the table of shingle counts that orders prefixes
+CENTRES = 4  # members of a bucket that all others meet first
+COUNT_BITS = 20  # cells of the table of shingle counts that orders prefixes
 _LOG_BASE = np.log(1.001)
 _RATE = 20.0
 _TOP = 65_535
@@ -135,6 +136,13 @@ def _hopeless(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, similarity: floa
     return bool(fit[_GRID >= similarity - 0.005].max() < fit.max() - 20)
 
 
+def _set_sums(sets: list[np.ndarray]) -> np.ndarray:
+    """Two 64-bit sums over each set, equal for equal sets."""
+    return np.array(
+        [[int(s.sum(dtype=np.uint64)), int(mix(s ^ np.uint64(_SALT)).sum(dtype=np.uint64))] for s in sets], np.uint64
+    ).reshape(-1, 2).view(np.int64)
+
+
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id")
@@ -146,10 +154,7 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 packed = registers([sets[i] for i in full]).view(np.uint64).view(np.int64)
                 for row, i in enumerate(full):
                     bands[i] = packed[row]
-            sums = np.array(
-                [[int(s.sum(dtype=np.uint64)), int(mix(s ^ np.uint64(_SALT)).sum(dtype=np.uint64))] for s in sets],
-                np.uint64,
-            ).reshape(-1, 2).view(np.int64)
+            sums = _set_sums(sets)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(first, len(sets)).cast(pa.int64()),
@@ -172,34 +177,41 @@ def sketch(documents: DataFrame) -> DataFrame:
     )
 
 
+def _class(n: str = "n_shingles") -> Column:
+    """One number for all documents with equal sets."""
+    return F.xxhash64(n, "sig1", "sig2")
+
+
 def _sides(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, regs, members``: registers and full set of every document in ``wanted(id)``.
+    """``id, regs, members``: registers and full set of every class in ``wanted(id, doc)``.
 
     Sets are derived again from the texts of these documents, so no table of all sets is
-    ever stored, and texts are not shuffled: a bit map of the wanted ids leaves out others.
+    ever stored, and texts are not shuffled: a bit map of the wanted documents leaves out
+    others. A document with several texts gives several classes, of which the wanted ones stay.
     """
-    marks = bit_map(wanted.select(F.xxhash64("id").alias("key")), "key")
+    marks = bit_map(wanted.select(F.xxhash64("doc").alias("key")), "key")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy().view(np.uint64)
             batch = batch.filter(pa.array(marked(marks.value, keys)))
-            ids = batch.column("id")
-            for first, sets in document_sets(batch):
-                full = [i for i, s in enumerate(sets) if len(s)]
-                regs = registers([sets[i] for i in full]) if full else []
+            for _, sets in document_sets(batch):
+                sets = [s for s in sets if len(s)]
+                sums = _set_sums(sets)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array([first + i for i in full], pa.int64())),
-                        pa.array([r.tobytes() for r in regs], pa.binary()),
-                        pa.array([sets[i].tobytes() for i in full], pa.binary()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(sums[:, 0]),
+                        pa.array(sums[:, 1]),
+                        pa.array([r.tobytes() for r in (registers(sets) if sets else [])], pa.binary()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["id", "regs", "members"],
+                    names=["n_shingles", "sig1", "sig2", "regs", "members"],
                 )
 
-    docs = documents.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null")
-    found = docs.withColumn("key", F.xxhash64("id")).mapInArrow(rows, "id long, regs binary, members binary")
-    return found.join(wanted, "id", "left_semi")
+    docs = documents.select(F.xxhash64(F.col("doc_id").cast("long")).alias("key"), "text").where("doc_id is not null")
+    found = docs.mapInArrow(rows, "n_shingles long, sig1 long, sig2 long, regs binary, members binary")
+    return found.select(_class().alias("id"), "regs", "members").join(wanted, "id", "left_semi")
 
 
 def _linked(similarity: float):
@@ -255,9 +267,14 @@ def _untested(pairs: DataFrame, tested: list[DataFrame], work: Workspace) -> Dat
 def _prefix_pairs(sides: DataFrame, similarity: float, work: Workspace) -> DataFrame:
     """Pairs ``a, b`` of different groups that share a shingle of both prefixes.
 
-    With the shingles of all sets in one order, sets that are similar enough share one of their
-    first ``n - ceil(similarity * n) + 1`` shingles. Rare shingles come first; a table of counts
-    of fixed size gives the order, and any order is right.
+    With the shingles of all sets in one order, rare ones first, sets that are similar enough
+    share one of their first ``n - ceil(similarity * n) + 1`` shingles. A table of counts of
+    fixed size gives the order, and any order is right.
+
+    Two sets of n and m shingles need an overlap of s / (1 + s) * (n + m), and the first
+    shingle that they share at place i leaves n - i at most. So a shingle at a late place is of use
+    only against small enough sets: each row carries that ``largest`` size. Rows that no other
+    set of their shingle is small enough for are left out, then shingles of one group.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,13 +294,14 @@ def _prefix_pairs(sides: DataFrame, similarity: float, work: Workspace) -> DataF
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, groups = batch.column("id").to_pylist(), batch.column("group").to_pylist()
-            tokens, sizes = [np.zeros(0, np.uint64)], []
+            tokens, sizes, largest = [np.zeros(0, np.uint64)], [], [np.zeros(0, np.int64)]
             kept: list[int] = []
             for members in batch.column("members"):
                 own = np.frombuffer(members.as_buffer(), np.uint64)
                 rare = np.lexsort((own, shared.value[(own >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]))
                 take = len(own) - -(-len(own) * hundredths // 100) + 1
                 tokens.append(own[rare[:take]])
+                largest.append((100 + hundredths) * (len(own) - np.arange(take)) // hundredths - len(own))
                 kept.append(take)
                 sizes.append(len(own))
             yield pa.RecordBatch.from_arrays(
@@ -292,24 +310,51 @@ def _prefix_pairs(sides: DataFrame, similarity: float, work: Workspace) -> DataF
                     pa.array(np.repeat(np.array(ids, np.int64), kept)),
                     pa.array(np.repeat(np.array(groups, np.int64), kept)),
                     pa.array(np.repeat(np.array(sizes, np.int64), kept)),
+                    pa.array(np.concatenate(largest)),
                 ],
-                names=["token", "id", "group", "n"],
+                names=["token", "id", "group", "n", "largest"],
             )
 
-    rows = work.put(sides.select("id", "group", "members").mapInArrow(prefixes, "token long, id long, group long, n long"))
-    per_group = rows.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n"))
-    split = (
-        per_group.groupBy("token")
-        .agg(F.max(F.struct("n", "group")).alias("top"), F.count(F.lit(1)).alias("groups"))
-        .where("groups > 1")
-        .select("token", F.col("top.group").alias("main"))
+    schema = "token long, id long, group long, n long, largest long"
+    rows = work.put(sides.select("id", "group", "members").mapInArrow(prefixes, schema))
+    met = _meeting(_meeting(rows, work), work)
+    per_group = met.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n"))
+    main = per_group.groupBy("token").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
+    named = met.join(main, "token")
+    x = named.where("group <> main").select(
+        "token", F.col("id").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx"), F.col("largest").alias("lx")
     )
-    named = rows.join(split, "token")
-    x = named.where("group <> main").select("token", F.col("id").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx"))
-    y = named.select("token", "main", F.col("id").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny"))
-    apart = "gx <> gy and (gy = main or x < y)"
+    y = named.select(
+        "token", "main", F.col("id").alias("y"), F.col("group").alias("gy"), F.col("n").alias("ny"), F.col("largest").alias("ly")
+    )
+    apart = F.expr("gx <> gy and (gy = main or x < y)")
     close = 100 * F.least("nx", "ny") >= hundredths * F.greatest("nx", "ny")
-    return x.join(y, "token").where(apart).where(close).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    reached = (F.col("ny") <= F.col("lx")) & (F.col("nx") <= F.col("ly"))
+    return x.join(y, [x.token == y.token, apart, close, reached]).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    )
+
+
+def _meeting(rows: DataFrame, work: Workspace) -> DataFrame:
+    """The rows that can meet one of another group: its set is small enough for them, and they for it.
+
+    Per shingle the smallest set and the farthest reach come from map-side aggregates, and with
+    them whether there is more than one group.
+    """
+    ends = (
+        rows.groupBy("token")
+        .agg(
+            F.min("n").alias("smallest"), F.max("largest").alias("farthest"),
+            F.min("group").alias("first"), F.max("group").alias("last"),
+        )
+        .where(F.col("first") != F.col("last"))
+        .select("token", "smallest", "farthest")
+    )
+    return work.put(
+        rows.join(ends, "token")
+        .where((F.col("smallest") <= F.col("largest")) & (F.col("n") <= F.col("farthest")))
+        .select(rows.columns)
+    )
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -321,86 +366,74 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     * Fewer than five words: the whole sequence is the one shingle.
     * Null, empty or blank text: no shingle, linked with nothing, kept.
     * Null doc_id: such a row joins no component; component_id is null and it is kept.
-    * Repeated rows: each is returned; rows with one doc_id share its component.
+    * Repeated rows: each is returned; rows with one doc_id share its component, also if
+      their texts differ: then the document is linked with all that any of its texts is.
     * Empty table: no rows. Other columns are ignored.
     """
     work = Workspace(documents, "near_duplicates")
     sketches = work.put(sketch(documents))
-    filled = sketches.where("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "sig1", "sig2"]
-    classes = work.put(
-        filled.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    )
-    # one row per class: its smallest document carries the bands
-    shared = classes.where("n > 1").select(*key, "rep")
+    filled = sketches.where("n_shingles > 0 and doc_id is not null").withColumn("class", _class())
+    classes = work.put(filled.groupBy("class").agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("n")))
+    # one row per class carries the bands: that of its smallest document
+    shared = classes.where("n > 1").select("class", "doc")
     placed = work.put(
-        filled.join(shared, key, "left")
-        .where(F.col("doc_id") == F.coalesce("rep", "doc_id"))
-        .select(F.col("doc_id").alias("rep"), "n_shingles", "bands")
-        .dropDuplicates(["rep"])
+        filled.join(shared, "class", "left")
+        .where(F.col("doc_id") == F.coalesce("doc", "doc_id"))
+        .select("class", F.col("doc_id").alias("doc"), "n_shingles", "bands")
+        .dropDuplicates(["class"])
     )
-    rows = placed.select("rep", "n_shingles", F.posexplode("bands").alias("band", "value"))
+    rows = placed.select(F.col("class").alias("rep"), "doc", "n_shingles", F.posexplode("bands").alias("band", "value"))
     bucket = ["band", "value"]
     sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = work.put(rows.join(sizes, bucket))
     # the members that collide most often come first in their buckets: they are the likeliest
     # to be linked with many others, and they are the same ones in many buckets
     popular = members.groupBy("rep").agg(F.sum("n").alias("met"))
-    ranked = members.select("rep", "n_shingles", *bucket).join(popular, "rep")
     first = Window.partitionBy(*bucket).orderBy(F.col("met").desc(), "rep")
     centres = work.put(
-        ranked.withColumn("nth", F.row_number().over(first))
-        .where(F.col("nth") <= CENTRES[-1])
-        .select(*bucket, "nth", F.col("rep").alias("centre"), F.col("n_shingles").alias("n_centre"))
+        members.select("rep", "n_shingles", *bucket)
+        .join(popular, "rep")
+        .withColumn("nth", F.row_number().over(first))
+        .where(F.col("nth") <= CENTRES)
+        .select(*bucket, F.col("rep").alias("centre"), F.col("n_shingles").alias("n_centre"))
     )
+    wanted = members.groupBy(F.col("rep").alias("id")).agg(F.min("doc").alias("doc"))
     members = members.select("rep", "n_shingles", *bucket)
-    sides = work.put(_sides(documents, members.select(F.col("rep").alias("id")).distinct()).dropDuplicates(["id"]))
+    sides = work.put(_sides(documents, wanted).dropDuplicates(["id"]))
     similar_size = 100 * F.least("n_shingles", "n_centre") >= round(similarity * 100) * F.greatest(
         "n_shingles", "n_centre"
     )
-
-    def pairs_of(candidates: DataFrame, tested: list[DataFrame]) -> DataFrame:
-        pairs = candidates.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
-        return _untested(pairs, tested, work)
-
-    def grouped(of: DataFrame, groups: DataFrame) -> DataFrame:
-        """``of`` with each member's component, for buckets that hold more than one."""
-        named = of.join(groups, of.rep == groups.node, "left").select(
-            *of.columns, F.coalesce("component", "rep").alias("group")
-        )
-        split = named.groupBy(*bucket).agg((F.min("group") != F.max("group")).alias("split")).where("split")
-        return work.put(named.join(split.select(*bucket), bucket, "left_semi"))
-
-    # first round: four centres of each bucket against all its members
-    some = F.col("nth") <= CENTRES[0]
-    tested = [pairs_of(members.join(centres.where(some), bucket).where((F.col("rep") != F.col("centre")) & similar_size), [])]
-    links = verified(tested[0], _only(sides, tested[0]), similarity, work)
+    # every member against a few centres of its buckets
+    met = members.join(centres, bucket).where((F.col("rep") != F.col("centre")) & similar_size)
+    tested = _untested(met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")), [], work)
+    links = verified(tested, _only(sides, tested), similarity, work)
+    # texts of one doc_id belong together as well
+    several = filled.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z")
+    own = several.join(filled.select("doc_id", F.col("class").alias("b")), "doc_id").where("a <> b").select("a", "b")
+    links = work.put(links.union(own).distinct())
     groups = work.put(components(links, work))
-    # second round: more centres, against members of other components
-    left = grouped(members, groups)
-    met = left.join(centres.where(~some), bucket)
-    other = met.join(groups.select(F.col("node").alias("centre"), F.col("component").alias("gc")), "centre", "left")
-    apart = (F.col("group") != F.coalesce("gc", "centre")) & similar_size
-    tested.append(pairs_of(other.where(apart), tested))
-    links = links.union(verified(tested[1], _only(sides, tested[1]), similarity, work))
-    groups = work.put(components(links, work))
-    # last round: buckets with more members than centres that still hold several components. An
-    # exact prefix filter finds all their similar pairs, however large the buckets are
-    left = grouped(left.drop("group"), groups)
-    large = left.join(sizes.where(F.col("n") > CENTRES[1]), bucket, "left_semi")
-    apart = large.select(F.col("rep").alias("id"), "group").distinct()
-    tested.append(_untested(_prefix_pairs(work.put(sides.join(apart, "id")), similarity, work), tested, work))
-    links = links.union(verified(tested[2], _only(sides, tested[2]), similarity, work))
+    # buckets that still hold several components: an exact prefix filter finds all their similar pairs
+    named = members.join(groups, members.rep == groups.node, "left").select(
+        "rep", *bucket, F.coalesce("component", "rep").alias("group")
+    )
+    split = named.groupBy(*bucket).agg((F.min("group") != F.max("group")).alias("split")).where("split")
+    apart = named.join(split.select(*bucket), bucket, "left_semi").select(F.col("rep").alias("id"), "group").distinct()
+    rest = work.put(sides.join(apart, "id"))
+    more = _untested(_prefix_pairs(rest, similarity, work), [tested], work)
+    links = links.union(verified(more, _only(sides, more), similarity, work))
     groups = work.put(components(links, work))
-    work.drop(sides, centres)
+    work.drop(sides, centres, rest)
 
-    # back to all documents: class by signature, component by class
-    named = classes.join(groups, classes.rep == groups.node, "left").select(
-        *key, F.coalesce("component", "rep").alias("component_id")
+    # back to all documents: a component has the smallest doc_id of all its classes
+    owned = classes.join(groups, classes["class"] == groups.node, "left").select(
+        "class", "doc", F.coalesce("component", "class").alias("component")
     )
+    lowest = owned.groupBy("component").agg(F.min("doc").alias("component_id"))
+    labels = owned.join(lowest, "component").select("class", "component_id")
     return (
-        sketches.select("doc_id", *key)
-        .join(named, key, "left")
+        sketches.select("doc_id", *key, _class().alias("class"))
+        .join(labels, "class", "left")
         .select(
             "doc_id",
             "n_shingles",

@@ -30,6 +30,42 @@ def test_a_large_group_of_near_copies(spark):
     assert got == brute.components({i: brute.shingle_set(t) for i, t in docs})
 
 
+def copies(rng, n, edits, words=120):
+    base = [f"w{i}" for i in range(words)]
+    docs = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(edits(rng)):
+            own[rng.randrange(words)] = f"x{rng.random()}"
+        docs.append((i, " ".join(own)))
+    return docs
+
+
+def test_candidates_grow_with_the_group_not_with_its_square(spark, monkeypatch):
+    """Copies with one to nine changed words: most pairs are below the threshold."""
+    seen = []
+    plain = op.verified
+    monkeypatch.setattr(op, "verified", lambda pairs, *rest: seen.append(pairs.count()) or plain(pairs, *rest))
+    found = {}
+    for n in (250, 500, 1000):
+        seen.clear()
+        docs = copies(random.Random(n), n, lambda r: r.randint(1, 9))
+        got = op.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        found[n] = sum(seen)
+        if n == 250:
+            assert {r.doc_id: r.component_id for r in got} == brute.components({i: brute.shingle_set(t) for i, t in docs})
+    assert found[1000] < 60_000 and found[1000] < 6 * found[250], found
+
+
+def test_a_document_with_two_texts_joins_both(spark):
+    rng = random.Random(4)
+    text_a, text_b = ([f"{c}{rng.random()}" for _ in range(100)] for c in "ab")
+    near = lambda words: " ".join([*words[:50], "changed", *words[51:]])
+    rows = [(20, " ".join(text_a)), (20, " ".join(text_b)), (30, near(text_a)), (31, near(text_b)), (19, "other words only")]
+    got = op.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(19, 19), (20, 20), (20, 20), (30, 20), (31, 20)]
+
+
 def test_edge_rows(edge, empty, rows):
     got = op.near_duplicates(edge).collect()
     assert len(got) == len(rows)
