@@ -2,6 +2,11 @@
 
 Every stage works on what its predecessor kept, written as Parquet and read again, and all
 but the last return the columns of ``documents``.
+
+In every stage: a null or empty text is a clean document without words or tokens and stays;
+rows without a doc_id are judged by their text, and near dedup keeps them; rows that repeat a
+doc_id are one document, which stays or goes as a whole; ties go to the smallest doc_id;
+other columns, whatever their names, are left out; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,14 +27,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the grammar does not call toxic (score below 0.5)."""
+    """Documents that the grammar does not call toxic (score below 0.5); others keep text and columns."""
     modest_batches(spark)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs.select(*COLUMNS), model).where("score < 0.5").drop("score")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of line runs; one that loses every worded line goes."""
+    """Documents without later copies of line runs; one that loses every worded line goes.
+
+    ``n_chars`` follows the text where lines went; an untouched document keeps all columns.
+    """
     modest_batches(spark)
     done = dedup_lines(docs.select(*COLUMNS))
     changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -41,7 +49,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates, the one with the smallest doc_id."""
+    """One document of every group of near duplicates, the one with the smallest doc_id.
+
+    If that document comes in several rows, all of them stay.
+    """
     modest_batches(spark)
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     # dropped documents grow with the input, so they are not broadcast at any size
