@@ -11,8 +11,8 @@ Windows that can't matter are cut short before they are shuffled. A phrase with
 passes count hashes of such runs, those of three only where both pairs are common, and keep
 the common ones in bit maps of fixed size; a window ends, padded, where a run isn't in
 them. Too many runs in a map cost time, never a count: what is counted is words, and each
-prefix that can reach ``min_count`` is complete. Workers add up equal windows of a million
-words before Spark sees them, so a very common phrase is a few rows.
+prefix that can reach ``min_count`` is complete. Workers add up the equal windows of half a
+million words before Spark sees them, so a very common phrase is a few rows.
 
 Null and empty texts have no words, a null language is ``und`` (and joins one of that name),
 repeated rows count again, ties are in the order stated, other columns are left out, an
@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bitmap import bit_map, marked
+from .hash_counts import PACKED, frequent, marking, packed
 from .registry import query, table
 from .tables import Workspace
 from .text import EXACT_VALUE, PLACE, blocks, hash_long, mix, prefix_sums, span_hashes, word_spans
@@ -40,7 +41,7 @@ LONGEST = 4
 COVERED = 80  # percent of a phrase's occurrences that a longer one may have without replacing it
 TOP = 2000
 NO_LANGUAGE = "und"
-UNIT_WORDS = 1_000_000  # words whose equal windows a worker adds up at once
+UNIT_WORDS = 500_000  # words whose equal windows a worker adds up at once
 UNIT_RUNS = 2_000_000
 THINNED = 2  # passes that look for common runs, of two words and of three
 
@@ -80,7 +81,7 @@ def _common_runs(words: np.ndarray, lang: np.ndarray, follows: np.ndarray, maps:
         if cells is not None:
             at = np.flatnonzero(run)
             run = run.copy()
-            run[at] = marked(cells, _run_keys(words, lang, at, size))
+            run[at] = marked(cells, marking(_run_keys(words, lang, at, size)))
         found.append(run)
         run = run & np.append(run[1:], False)
     return found
@@ -104,10 +105,6 @@ def common_runs(documents: DataFrame, min_count: int, maps: list[Broadcast]) ->
         kept: list[np.ndarray] = []
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(kept), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
-
         for batch in batches:
             languages = _language_hashes(batch.column("lang"))
             for row, stop, data, offsets in blocks(batch):
@@ -118,13 +115,12 @@ def common_runs(documents: DataFrame, min_count: int, maps: list[Broadcast]) ->
                 kept.append(_run_keys(words, lang, np.flatnonzero(run), size_of_run))
                 size += len(kept[-1])
                 if size >= UNIT_RUNS:
-                    yield flush()
+                    yield packed(np.concatenate(kept), min_count)
                     kept, size = [], 0
         if size:
-            yield flush()
+            yield packed(np.concatenate(kept), min_count)
 
-    counts = documents.mapInArrow(counted, "key long, n long")
-    return counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key")
+    return frequent(documents.mapInArrow(counted, PACKED), min_count)
 
 
 def longest_windows(documents: DataFrame, min_count: int, longest: int, unit_words: int = UNIT_WORDS) -> DataFrame:

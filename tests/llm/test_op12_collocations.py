@@ -2,8 +2,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from purseflow.llm import hash_counts
 from purseflow.llm import op12_collocations as op
 
 
@@ -95,3 +97,17 @@ def test_edge_rows(edge, empty, rows_of_edge):
 @pytest.fixture(scope="session")
 def rows_of_edge(edge):
     return [(r.lang, r.text) for r in edge.select("lang", "text").collect()]
+
+
+@pytest.mark.parametrize("least", [1, 2, 30, 300])
+def test_frequent_hashes(spark, least):
+    rng = np.random.default_rng(least)
+    values = rng.integers(0, 2**64, 500, dtype=np.uint64)
+    values[:3] = [0, 2**64 - 1, 2**63]
+    n = rng.integers(1, 2 * least + 2, len(values))
+    every = rng.permutation(np.repeat(values, n))
+    parts = [hash_counts.packed(x, least).to_pylist() for x in np.array_split(every, 4)]
+    rows = spark.createDataFrame([tuple(r.values()) for part in parts for r in part], hash_counts.PACKED)
+    got = {r.key for r in hash_counts.frequent(rows, least).collect()}
+    assert got == set(hash_counts.marking(values[n >= least]).view(np.int64).tolist())
+    assert hash_counts.packed(np.zeros(0, np.uint64), least).num_rows == 0
