@@ -4,7 +4,8 @@ A text is normalised (a space in front, spaces as U+2581) and starts as single c
 Neighbours whose joined string is a piece of the vocabulary stand in an agenda ordered by
 the piece's score, then from left to right. The best pair is merged, its new neighbours
 enter the agenda, and pairs that lost a part meanwhile are passed over. What ends as no
-piece becomes its UTF-8 bytes.
+piece becomes its UTF-8 bytes. A long segment has a heap for its agenda; short ones are merged
+many at a time, with a row of a matrix each.
 
 No merge ever crosses a place whose two characters stand side by side in no piece (between
 words, for one), so a text is cut there, and each distinct segment goes through the agenda
@@ -28,6 +29,8 @@ SPACE = "▁"  # how a vocabulary writes a space
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # kinds of pieces in a model file
 MERGE_MODEL = 2
 _LAST = 0x110000
+_SHORT = 24  # characters of a segment up to which many are merged at once
+_NEVER = np.int64(1) << 60
 
 
 def _one_mark_per_byte(error: UnicodeError) -> tuple[str, int]:
@@ -87,10 +90,66 @@ class PieceCodec(PieceTable):
         self.letter = np.zeros(_LAST, np.int16 if len(letters) < 1 << 15 else np.int32)
         self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
         self.joined = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        self._name_pairs(letters)
         pairs = np.array([(ord(a), ord(b)) for _, piece, _ in normal for a, b in zip(piece, piece[1:])])
         self.joined[self.letter[pairs[:, 0]], self.letter[pairs[:, 1]]] = True
         super().__init__(kept)
 
+    def _name_pairs(self, letters: list[str]) -> None:
+        """Numbers for all symbols, and for each pair that is a piece its place in the order and its symbol."""
+        names = [*self.ids_of, *[c for c in letters if c not in self.ids_of]]
+        number = {name: n for n, name in enumerate(names)}
+        self.symbol_of_letter = np.array([-1, *[number[c] for c in letters]], np.int64)
+        self.id_of_symbol = np.array([self.ids_of.get(name, -1) for name in names], np.int64)
+        known = [
+            (left * len(names) + right, self.order[piece], number[piece])
+            for piece in self.ids_of
+            for k in range(1, len(piece))
+            if (left := number.get(piece[:k])) is not None and (right := number.get(piece[k:])) is not None
+        ]
+        table = np.array(sorted(known), np.int64).reshape(-1, 3)
+        self.n_symbols, self.pair, self.pair_place, self.pair_symbol = len(names), *np.ascontiguousarray(table.T)
+
+    def _places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where each pair stands in the order; ``_NEVER`` if it is no piece."""
+        keys = left * self.n_symbols + right
+        at = np.minimum(np.searchsorted(self.pair, keys), len(self.pair) - 1)
+        return np.where((self.pair[at] == keys) & (left >= 0) & (right >= 0), self.pair_place[at], _NEVER)
+
+    def merge_rows(self, symbols: np.ndarray) -> np.ndarray:
+        """``merge`` for many short segments at once: a row of symbols each, filled up with -1.
+
+        A row of places is the agenda of a segment; every round takes the best pair of each row.
+        """
+        done = np.full_like(symbols, -1)
+        row = np.arange(len(symbols))
+        places = self._places(symbols[:, :-1], symbols[:, 1:])
+        columns = np.arange(symbols.shape[1])
+        while len(row):
+            best = places.argmin(axis=1)  # the first of equal ones is the leftmost
+            each = np.arange(len(row))
+            over = places[each, best] == _NEVER
+            done[row[over]] = symbols[over]
+            go_on = ~over
+            row, symbols, places, best = row[go_on], symbols[go_on], places[go_on], best[go_on]
+            each = np.arange(len(row))
+            keys = symbols[each, best] * self.n_symbols + symbols[each, best + 1]
+            merged = self.pair_symbol[np.searchsorted(self.pair, keys)]
+            # everything behind the pair moves up by one
+            moved = columns + (columns > best[:, None])
+            moved[:, -1] = np.minimum(moved[:, -1], symbols.shape[1] - 1)
+            symbols = np.take_along_axis(symbols, moved, 1)
+            symbols[:, -1] = -1
+            symbols[each, best] = merged
+            places = np.take_along_axis(places, np.minimum(moved[:, :-1], places.shape[1] - 1), 1)
+            places[:, -1] = _NEVER
+            after = np.minimum(best, places.shape[1] - 1)
+            places[each, after] = self._places(symbols[each, after], symbols[each, after + 1])
+            inner = np.flatnonzero(best > 0)
+            before = best[inner] - 1
+            places[inner, before] = self._places(symbols[inner, before], symbols[inner, before + 1])
+        return done
+
     def merge(self, segment: str) -> list[int]:
         """Ids of a normalised piece of text, all merges done in the agenda's order."""
         order, n = self.order, len(segment)
@@ -126,11 +185,25 @@ class PieceCodec(PieceTable):
         return out
 
     def _learn(self, codes: np.ndarray, keys: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        size = end - start
+        short = (size > 1) & (size <= _SHORT)
+        for at in np.array_split(np.flatnonzero(short), 1 + np.count_nonzero(short) // 20_000):
+            if len(at):
+                place = start[at][:, None] + np.arange(size[at].max())
+                inside = place < end[at][:, None]
+                symbols = np.where(inside, self.symbol_of_letter[self.letter[codes[np.where(inside, place, 0)]]], -1)
+                merged = self.merge_rows(symbols)
+                known = merged >= 0
+                ids = np.where(known, self.id_of_symbol[merged], -1)
+                whole = ~(known & (ids < 0)).any(axis=1)  # letters that are no piece become bytes
+                short[at[~whole]] = False
+                self._add(keys[at[whole]], ids[whole][known[whole]].astype(np.uint32), known[whole].sum(axis=1))
+        at = np.flatnonzero(~short)
         found = [
-            self.merge(codes[s:e].tobytes().decode("utf-32-le")) for s, e in zip(start.tolist(), end.tolist())
+            self.merge(codes[s:e].tobytes().decode("utf-32-le")) for s, e in zip(start[at].tolist(), end[at].tolist())
         ]
         lengths = np.array([len(x) for x in found], np.int64)
-        self._add(keys, np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())), lengths)
+        self._add(keys[at], np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())), lengths)
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of documents (UTF-8) and where each document's ids begin (n + 1)."""

@@ -40,6 +40,21 @@ def test_ids_of_drawn_texts_equal_the_library(library):
     assert encode_all(few, texts[:2_000]) == library.encode(texts[:2_000])
 
 
+def test_both_agendas_agree():
+    rng = random.Random(8)
+    codec = PieceCodec(PATH)
+    letters = "".join(c for c in codec.ids_of if len(c) == 1)
+    segments = ["".join(rng.choices("aabcehinorst▁", k=rng.randint(2, 24))) for _ in range(3_000)]
+    segments += ["".join(rng.choices(letters, k=rng.randint(2, 24))) for _ in range(1_000)]
+    segments += ["a" * k for k in range(2, 25)]
+    width = max(map(len, segments))
+    symbols = np.full((len(segments), width), -1, np.int64)
+    for i, text in enumerate(segments):
+        symbols[i, : len(text)] = codec.symbol_of_letter[codec.letter[[ord(c) for c in text]]]
+    got = codec.merge_rows(symbols)
+    assert [codec.id_of_symbol[r[r >= 0]].tolist() for r in got] == [codec.merge(text) for text in segments]
+
+
 def test_long_patterned_words_keep_their_own_ids(library):
     word = "a"
     for _ in range(11):
