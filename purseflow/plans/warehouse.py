@@ -587,18 +587,30 @@ def object_etags(spark: SparkSession, folder: str) -> DataFrame:
 
 @report(
     "roundtrip_fingerprint",
-    "SELECT COUNT(*) AS rows_before, COUNT(*) AS rows_after, true AS identical FROM lineitem",
+    f"""SELECT COUNT(*) AS rows_before, COUNT(*) AS rows_after, true AS identical,
+    {dbl('SUM(CAST(l_extendedprice AS DECIMAL(18,2)))')} AS price_after,
+    CAST(SUM(l_orderkey * l_linenumber) AS BIGINT) AS keys_after, COUNT(DISTINCT l_shipdate) AS days_after FROM lineitem""",
 )
 def roundtrip_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows before a write and after reading back, compared by count and content."""
+    """Rows before a write and after reading back, compared by count and content; totals of the rows read back."""
     rows = lines(spark, folder)
-    before, after = files.fingerprint(rows), files.fingerprint(stage(rows, "roundtrip"))
+    back = stage(rows, "roundtrip")
+    before, after = files.fingerprint(rows), files.fingerprint(back)
+    days = back.groupBy("l_shipdate").agg(
+        F.sum(F.col("l_extendedprice").cast(fn.MONEY)).alias("price"), F.sum(F.col("l_orderkey") * F.col("l_linenumber")).alias("keys")
+    )
+    totals = days.agg(fn.dbl(F.sum("price")).alias("price"), F.sum("keys").alias("keys"), F.count("*").alias("days"))
+    total = totals.select(F.struct("price", "keys", "days")).scalar()
     pair = before.select(F.lit("before").alias("side"), "*").unionByName(after.select(F.lit("after").alias("side"), "*"))
-    return pair.agg(
+    found = pair.agg(
         F.max(F.when(F.col("side") == "before", F.col("n_rows"))).alias("rows_before"),
         F.max(F.when(F.col("side") == "after", F.col("n_rows"))).alias("rows_after"),
         ((F.min("row_xor") == F.max("row_xor")) & (F.min("row_sum") == F.max("row_sum"))
          & (F.min("n_rows") == F.max("n_rows"))).alias("identical"),
+    ).withColumn("total", total)
+    return found.select(
+        "rows_before", "rows_after", "identical",
+        F.col("total.price").alias("price_after"), F.col("total.keys").alias("keys_after"), F.col("total.days").alias("days_after"),
     )
 
 
