@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from .tables import Workspace
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+FEW_EDGES = 50_000  # as many rows fit one task many times over
+
+
+def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
     """Link the neighbours of every node to its smallest neighbour.
 
     The smallest neighbour is a map-side aggregated minimum joined back, so a node with
-    very many neighbours is never gathered in one task.
+    very many neighbours is never gathered in one task. ``few`` edges are handled in one
+    task without any shuffle.
     """
     if large:
-        around = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+        around = edges.select(both.alias("e")).select("e.a", "e.b")
     else:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     lowest = around.groupBy("a").agg(F.min("b").alias("m"))
@@ -27,6 +32,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             lowest.select(F.col("node").alias("a"), F.col("m").alias("b"))
         )
+        out = out.coalesce(1) if few else out
     return out.where("a <> b").groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
 
 
@@ -45,7 +51,8 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
     )
     state = mark(now)
     while state[0]:
-        step = work.put(_star(_star(now, True), False))
+        few = state[0] <= FEW_EDGES
+        step = work.put(_star(_star(now.coalesce(1) if few else now, True, few), False, few))
         new = mark(step)
         work.drop(now)
         now = step

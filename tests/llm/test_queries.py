@@ -74,9 +74,11 @@ def test_stages_take_edge_rows_and_empty_tables(spark, edge, rows, folder, name)
         assert texts[22].n_chars == len(texts[22].text) and texts[22].text.startswith("start") and "line one" not in texts[22].text
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_components(spark, monkeypatch, few):
     edges = [(5, 9), (9, 2), (7, 8), (20, 21), (21, 22), (22, 23), (23, 24), (24, 3), (1, 1)]
     df = spark.createDataFrame(edges, "a long, b long")
+    monkeypatch.setattr("purseflow.llm.components.FEW_EDGES", few)
     got = {r.node: r.component for r in components(df, Workspace(df, "test")).collect()}
     assert got == {2: 2, 5: 2, 9: 2, 7: 7, 8: 7, 3: 3, 20: 3, 21: 3, 22: 3, 23: 3, 24: 3}
     assert components(df.where("false"), Workspace(df, "test")).count() == 0
