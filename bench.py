@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from purseflow import plans  # noqa: E402,F401
 from purseflow.plans.registry import REPORTS  # noqa: E402
-from purseflow.session import build_session  # noqa: E402
+from purseflow.session import build_session, remove_staged  # noqa: E402
 
 HEADLINE = [
     "run_summary",  # the end-to-end batch
@@ -67,6 +67,7 @@ def main() -> None:
     if "run_summary" in times:
         line["end_to_end_sec_per_100k_rows"] = round(times["run_summary"] / n_raw * 100_000, 3)
     print(json.dumps(line))
+    remove_staged(spark)
     spark.stop()
 
 

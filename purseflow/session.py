@@ -53,9 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that holds all this application writes for itself."""
+    return f"{shared_dir(spark)}/purseflow/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/purseflow/{uuid.uuid4().hex}/{name}"
+    """A path in the application's folder that no other call gets."""
+    return f"{run_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete all that this application has staged, once no result that reads it is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from purseflow.operators import ingest, keyed_log, rules, warehouse
 from purseflow.operators.snapshots import VersionedTable
 from purseflow.plans import batch
-from purseflow.session import fresh_path, shared_dir, stage
+from purseflow.session import fresh_path, remove_staged, run_dir, shared_dir, stage
 from purseflow.sources import files, synthetic
 
 SCHEMA = "id bigint, v string"
@@ -234,3 +234,13 @@ def test_checked_csv_keeps_unreadable_lines(spark):
     ]
     assert {r.line for r in rejects.collect()} >= {"two,1,y", "5,1", "6,1,x,more", "9,abc,q"}
     assert good.count() + rejects.count() == 8  # the empty line is none
+
+
+def test_staged_tables_lie_in_one_folder_that_can_be_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("purseflow.session.shared_dir", lambda spark: str(tmp_path))
+    assert stage(spark.range(3), "three").count() == 3
+    assert [spark.sparkContext.applicationId] == os.listdir(tmp_path / "purseflow")
+    assert run_dir(spark) == f"{tmp_path}/purseflow/{spark.sparkContext.applicationId}"
+    remove_staged(spark)
+    assert os.listdir(tmp_path / "purseflow") == []
+    remove_staged(spark)  # nothing left to remove
