@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_group_stats
 from .bitmap import bit_map, marked
 from .components import components
 from .registry import query, table
@@ -345,13 +346,14 @@ def _meeting(rows: DataFrame, work: Workspace) -> DataFrame:
         rows.groupBy("token")
         .agg(
             F.min("n").alias("smallest"), F.max("largest").alias("farthest"),
-            F.min("group").alias("first"), F.max("group").alias("last"),
+            F.min("group").alias("first"), F.max("group").alias("last"), F.count(F.lit(1)).alias("n_rows"),
         )
         .where(F.col("first") != F.col("last"))
-        .select("token", "smallest", "farthest")
+        .select("token", "smallest", "farthest", "n_rows")
     )
+    # a shingle that very many sets share must not put all of its rows into one task
     return work.put(
-        rows.join(ends, "token")
+        join_group_stats(rows, ends, ["token"], "n_rows")
         .where((F.col("smallest") <= F.col("largest")) & (F.col("n") <= F.col("farthest")))
         .select(rows.columns)
     )
