@@ -1,14 +1,16 @@
 """Exact repeated substrings: every byte covered by a 100-byte string that starts earlier too.
 
-Suffixes are sampled and the rest is induced from the sample:
+This is not external induced sorting with priority queues, which costs a push and a pop for
+every byte and level (figures in the README). It keeps the idea of inducing from a locally
+chosen sample, but nothing is sorted: windows are told apart by hashes of their anchors.
 
 1. Sample. In every 100-byte window the 32-byte string with the smallest hash (the leftmost of
    them) is the window's anchor. Equal windows choose the same anchor at the same offset, and
    about one position in 35 is one. Each anchor carries the tuple of its suffix: the hash of its
    32 bytes, and the hash and length of its whole context, all the windows that chose it.
-2. Sort. Tuples of anchors that occur again (a bit map of fixed size leaves out the others)
-   meet in Spark's sort and shuffle, which spill to disk. Anchors with equal contexts form a
-   class; all its members but the first are covered completely.
+2. Class. Tuples of anchors that occur again (a bit map of fixed size leaves out the others)
+   are grouped by Spark: anchors with equal contexts form a class; all its members but the first
+   are covered completely.
 3. Induce. A window's class follows from its anchor's: only where an anchor's 32 bytes occur
    in several different contexts can a first member hold a window that another context has
    earlier. The windows of these members, and only they, are compared one by one.
