@@ -11,7 +11,7 @@ Windows that can't matter are cut short before they are shuffled. A phrase with
 passes count hashes of such runs, those of three only where both pairs are common, and keep
 the common ones in bit maps of fixed size; a window ends, padded, where a run isn't in
 them. Too many runs in a map cost time, never a count: what is counted is words, and each
-prefix that can reach ``min_count`` is complete. Workers add up the equal windows of half a
+prefix that can reach ``min_count`` is complete. Workers add up the equal windows of a
 million words before Spark sees them, so a very common phrase is a few rows.
 
 Null and empty texts have no words, a null language is ``und`` (and joins one of that name),
@@ -41,7 +41,7 @@ LONGEST = 4
 COVERED = 80  # percent of a phrase's occurrences that a longer one may have without replacing it
 TOP = 2000
 NO_LANGUAGE = "und"
-UNIT_WORDS = 500_000  # words whose equal windows a worker adds up at once
+UNIT_WORDS = 1_000_000  # words whose equal windows a worker adds up at once
 UNIT_RUNS = 2_000_000
 THINNED = 2  # passes that look for common runs, of two words and of three
 
@@ -144,8 +144,8 @@ def longest_windows(documents: DataFrame, min_count: int, longest: int, unit_wor
                 # how many words the window at each word has: as many as all its runs are common for
                 reach = np.ones(len(doc), np.uint8)
                 run = follows
-                for size in range(2, longest + 1):
-                    run = runs[size - 2] if size - 2 < len(maps) else run & np.append(run[1:], False)
+                for k in range(longest - 1):
+                    run = runs[k] if k < len(maps) else run & np.append(run[1:], False)
                     reach += run
                 lengths = np.concatenate([[0], np.cumsum(end - start)])
                 texts.append(pa.LargeStringArray.from_buffers(len(doc), pa.py_buffer(lengths), pa.py_buffer(data[_IN_WORD[data]])))

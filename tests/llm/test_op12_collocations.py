@@ -73,6 +73,9 @@ def test_units_and_languages_stay_apart(spark):
     for r in got:
         count[r.lang, r.w1, r.w2, r.w3, r.w4] += r.n
     assert len(got) > len(count)
+    # a unit ends with the block that fills it, so one task's rows repeat as well
+    long = spark.createDataFrame([("en", "a b " * 100_000)] * 3, "lang string, text string").coalesce(1)
+    assert len(op.longest_windows(long, 36, 4, unit_words=5).collect()) > len(op.longest_windows(long, 36, 4).collect())
     assert count["en", "a", "b", "c", ""] == count["de", "a", "b", "c", ""] == count["de", "a", "b", "c", "d"] == 36
     assert count["de", "c", "d", "", ""] == 36 and count["en", "c", "", "", ""] == 36
 
