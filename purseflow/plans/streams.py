@@ -56,7 +56,8 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return arrivals.landed(spark, path, events.schema)
 
 
-# The deliveries, and for each the watermark (whole milliseconds) that earlier ones have set.
+# The deliveries, and for each the watermark that earlier ones have set (mark_us). A window drops what came
+# after it was closed, which the batch before did: with the watermark (whole milliseconds) of that batch (mark).
 ARRIVED = f"""span AS (SELECT MIN(epoch_us(ts)) AS t0, MAX(epoch_us(ts)) AS t1,
     GREATEST({arrivals.DELIVERIES}, (COUNT(*) + {arrivals.DELIVERY_ROWS - 1}) // {arrivals.DELIVERY_ROWS}) AS n FROM ev),
 placed AS (SELECT event_id, ts, user_id, category, CAST(amount AS DECIMAL(18,2)) AS amount,
@@ -65,8 +66,8 @@ placed AS (SELECT event_id, ts, user_id, category, CAST(amount AS DECIMAL(18,2))
 came AS (SELECT * FROM placed UNION ALL
     SELECT event_id + {LATE_IDS}, ts, user_id, category, amount, status, k + {LATE_BY}, n FROM placed
     WHERE event_id % 7 = 3 AND k + {LATE_BY} < n),
-tops AS (SELECT k, MAX(MAX(epoch_ms(ts))) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30000 AS mark,
-    MAX(MAX(epoch_us(ts))) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30000000 AS mark_us
+tops AS (SELECT k, MAX(MAX(epoch_ms(ts))) OVER (ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 30000 AS mark,
+    MAX(MAX(epoch_us(ts))) OVER (ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30000000 AS mark_us
     FROM came GROUP BY k),
 arrived AS (SELECT came.*, mark, mark_us FROM came JOIN tops USING (k)),
 closed AS (SELECT MAX(epoch_ms(ts)) - 30000 AS closing FROM came)"""
