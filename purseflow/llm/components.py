@@ -19,8 +19,8 @@ def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
     task without any shuffle.
     """
     if large:
-        both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-        around = edges.select(both.alias("e")).select("e.a", "e.b")
+        around = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        around = around.coalesce(1) if few else around
     else:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     lowest = around.groupBy("a").agg(F.min("b").alias("m"))
