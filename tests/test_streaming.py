@@ -178,3 +178,28 @@ def test_a_filtered_delivery_reads_only_its_time(spark):
     rows = spark.read.schema(SCHEMA).parquet(path)
     plan = arrivals.in_span(rows, arrivals.schedule(rows), 3)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan and "Exchange" not in plan
+
+
+def test_rows_laid_out_by_span_are_the_same_and_a_delivery_opens_only_its_folder(spark):
+    rows = timed(spark, 100, 60).orderBy(F.xxhash64("txn_id"))  # not in order of time
+    rows = rows.unionByName(rows.limit(1).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    times = arrivals.schedule(rows)
+    placed = arrivals.by_span(rows, times)
+    for k in range(times.n):
+        assert sorted(arrivals.in_span(placed, times, k).collect()) == sorted(arrivals.in_span(rows, times, k).collect())
+    plan = arrivals.in_span(placed, times, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_span" in plan and "Exchange" not in plan
+
+
+def test_bounded_state_has_no_more_partitions_than_cores(spark):
+    path, progress, was = fresh_path(spark, "in"), [], spark.conf.get("spark.sql.shuffle.partitions")
+    deliver(spark, path, *[(i, 7, "Food", "SUCCESS", "1", s) for i, s in enumerate([1, 2, 59, 61, 62, 200])])
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(cores + 12))
+    try:
+        table = jobs.run_to_table(jobs.velocity(source(spark, path)), "velocity", progress=progress, bounded=True)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(cores + 12)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert {p.stateOperators[0].numShufflePartitions for p in progress} == {cores}
+    assert sorted(r.n_txns for r in jobs.read_appended(spark, table).collect()) == [2, 3]
