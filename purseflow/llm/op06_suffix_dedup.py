@@ -192,7 +192,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "place")
     key = ["gram", "context"]
     classes = work.put(tuples.groupBy(*key).agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n")))
-    copies = (
+    copies = work.put(
         tuples.join(classes.where("n > 1").select(*key, "least"), key)
         .where((F.col("row") != F.col("least.row")) | (F.col("place") != F.col("least.place")))
         .select("row", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
@@ -201,16 +201,18 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     contested = work.put(
         classes.join(several, "gram").select("least.row", "least.place")
     )
+    work.drop(tuples, classes)
     # most of these windows occur once and are told by their hash alone
     counted = _windows(docs, contested, length, gram).groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1")
     windows = work.put(_windows(docs, contested, length, gram, bit_map(counted.select("hash"), "hash")))
     begin = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
     first = windows.groupBy("gram", "hash").agg(F.min(begin).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    induced = (
+    induced = work.put(
         windows.join(first.drop("n"), ["gram", "hash"])
         .where((F.col("row") != F.col("least.row")) | (F.col("at") != F.col("least.at")))
         .select("row", F.col("at").alias("a"), (F.col("at") + length).alias("b"))
     )
+    work.drop(contested, windows)
     return copies.union(induced).groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
