@@ -13,7 +13,8 @@ chosen sample, but nothing is sorted: windows are told apart by hashes of their
    are covered completely.
 3. Induce. A window's class follows from its anchor's: only where an anchor's 32 bytes occur
    in several different contexts can a first member hold a window that another context has
-   earlier. The windows of these members, and only they, are compared one by one.
+   earlier. The windows of these members, and only they, are compared one by one, after those
+   are left out that hold their anchor with more bytes before or after it than any other context has.
 
 No step gathers a group: classes are map-side aggregated minima. A shard may be far larger
 than memory, since all state between the steps is in written tables and shuffles.
@@ -22,7 +23,7 @@ than memory, since all state between the steps is in written tables and shuffles
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,10 +35,12 @@ from pyspark.sql import functions as F
 from .bitmap import bit_map, marked
 from .registry import query, table
 from .tables import Workspace, steady
-from .text import EXACT_VALUE, PLACE, blocks, mix, prefix_sums, span_hashes
+from .text import EXACT_VALUE, PLACE, blocks, mix, prefix_sums, span_hashes, span_sums
 
 LENGTH = 100
 GRAM = 32
+BYTES = 1 << 17  # arrays of eight times as many bytes stay in a core's cache
+STEP = 11  # bytes from one reach beyond an anchor to the next
 
 
 def anchors(
@@ -51,28 +54,32 @@ def anchors(
     sums = prefix_sums(data, EXACT_VALUE)
     if len(data) < length:
         return none, none, none, none, none.view(np.uint64), sums
-    at = np.arange(len(data) - gram + 1)
-    hashes = span_hashes(sums, at, at + gram)
+    sizes = np.diff(offsets)
+    held = np.flatnonzero(sizes >= length)
+    if not len(held):
+        return none, none, none, none, none.view(np.uint64), sums
+    # the sums themselves are compared, and only those of the anchors become hashes
+    grams = span_sums(sums, gram)
     bits = np.uint64(len(data).bit_length())
-    least = (hashes >> bits << bits) | at.astype(np.uint64)  # equal hashes: the leftmost is less
+    least = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)  # equal sums: the leftmost is less
     wide, size = length - gram + 1, 1
     while 2 * size <= wide:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < wide:
         least = np.minimum(least[: len(least) - (wide - size)], least[wide - size :])
-    place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    start = np.flatnonzero(np.arange(len(place)) + length <= ends[: len(place)])
-    if not len(start):
-        return none, none, none, none, none.view(np.uint64), sums
-    chosen = place[start]
-    new = np.ones(len(start), bool)
-    new[1:] = (chosen[1:] != chosen[:-1]) | (start[1:] != start[:-1] + 1)
+    new = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    begin = offsets[held]
+    new[begin] = True
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
-    doc = np.searchsorted(offsets, start[first], side="right") - 1
-    return doc, chosen[first], start[first], start[last], hashes[chosen[first]], sums
+    doc = held[np.maximum(np.searchsorted(begin, first, side="right") - 1, 0)]
+    inside = (first >= offsets[doc]) & (first + length <= offsets[doc + 1])
+    last = np.append(first[1:], len(least)) - 1
+    doc, first, last = doc[inside], first[inside], last[inside]
+    last = np.minimum(last, offsets[doc + 1] - length)
+    place = (least[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return doc, place, first, last, mix(grams[place]), sums
 
 
 def _numbered(documents: DataFrame) -> DataFrame:
@@ -84,7 +91,7 @@ def _numbered(documents: DataFrame) -> DataFrame:
 def _gram_counts(length: int, gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in blocks(batch):
+            for _, _, data, offsets in blocks(batch, max_bytes=BYTES):
                 found, n = np.unique(anchors(data, offsets, length, gram)[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
@@ -100,7 +107,7 @@ def _tuples(documents: DataFrame, marks: Broadcast, length: int, gram: int) -> D
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, numbers = batch.column("doc_id"), batch.column("row")
-            for begin, _, data, offsets in blocks(batch):
+            for begin, _, data, offsets in blocks(batch, max_bytes=BYTES):
                 doc, place, first, last, grams, sums = anchors(data, offsets, length, gram)
                 keep = np.flatnonzero(marked(marks.value, grams))
                 doc, place, first, last, grams = (x[keep] for x in (doc, place, first, last, grams))
@@ -120,64 +127,94 @@ def _tuples(documents: DataFrame, marks: Broadcast, length: int, gram: int) -> D
     return documents.mapInArrow(rows, _TUPLE)
 
 
-_WINDOW = "doc_id long, row long, gram long, at long, hash long"
+def reaches(
+    sums: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, gram: int
+) -> Iterator[tuple[bool, int, np.ndarray, np.ndarray]]:
+    """(after?, bytes, which anchors, hashes) of the anchors with so many bytes before or after them.
 
-
-def _windows(
-    documents: DataFrame, contested: DataFrame, length: int, gram: int, again: Broadcast | None = None
-) -> DataFrame:
-    """The windows of the contested anchors (row, place).
-
-    Without ``again`` only each hash and how often a block has it; with it, place and hash of
-    the windows whose hash is marked there.
+    Only such as lie in a window of the anchor. Equal windows have all of theirs in common.
     """
-    marks = bit_map(contested.select(F.xxhash64("row").alias("key")), "key")
-    spots = bit_map(contested.select(F.xxhash64("row", "place").alias("key")), "key")
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            batch = batch.filter(pa.array(marked(marks.value, batch.column("key").to_numpy().view(np.uint64))))
-            ids, numbers = batch.column("doc_id"), batch.column("row")
-            for begin, _, data, offsets in blocks(batch):
-                doc, place, first, last, grams, sums = anchors(data, offsets, length, gram)
-                base = offsets[doc]
-                # Spark's hash of (row, place): the first one's hash is the second one's seed
-                seeds = [
-                    xxhash.xxh64_intdigest(n.to_bytes(8, "little"), 42)
-                    for n in numbers.slice(begin, len(offsets) - 1).to_pylist()
-                ]
-                spot = (place - base).astype("<i8").tobytes()
-                keys = np.array(
-                    [xxhash.xxh64_intdigest(spot[8 * i : 8 * i + 8], seeds[d]) for i, d in enumerate(doc.tolist())],
-                    np.uint64,
-                )
-                keep = np.flatnonzero(marked(spots.value, keys))
-                doc, place, first, last, grams = (x[keep] for x in (doc, place, first, last, grams))
-                n = last - first + 1
-                which = np.repeat(np.arange(len(keep)), n)
-                start = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                found = mix(
-                    span_hashes(sums, start, start + length) + (place[which] - start).astype(np.uint64) * PLACE[0]
-                )
-                if again is None:
-                    found, times = np.unique(found, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["hash", "n"])
-                    continue
-                keep = np.flatnonzero(marked(again.value, found))
-                which, start, found = which[keep], start[keep], found[keep]
+    for reach in range(min(STEP, length - gram), length - gram + 1, STEP):
+        for after, there, start in (
+            (False, place - first >= reach, place - reach), (True, last + length - place - gram >= reach, place)
+        ):
+            at = np.flatnonzero(there)
+            yield after, reach, at, mix(span_hashes(sums, start[at], start[at] + gram + reach) + PLACE[int(after)])
+
+
+def _spot_keys(row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mix(mix(row.view(np.uint64)) + place.astype(np.uint64))
+
+
+def _spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = _spot_keys(batch.column("row").to_numpy(), batch.column("place").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+
+
+class Contested:
+    """The contested anchors (row, place), found again in the texts by bit maps."""
+
+    def __init__(self, documents: DataFrame, contested: DataFrame, length: int, gram: int) -> None:
+        self.documents = documents.withColumn("key", F.xxhash64("row"))
+        self.rows = bit_map(contested.select(F.xxhash64("row").alias("key")), "key")
+        self.spots = bit_map(contested.select("row", "place").mapInArrow(_spots, "key long"), "key")
+        self.length, self.gram = length, gram
+
+    def _anchors(self) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
+        rows, spots, length, gram = self.rows, self.spots, self.length, self.gram
+
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+            for batch in batches:
+                batch = batch.filter(pa.array(marked(rows.value, batch.column("key").to_numpy().view(np.uint64))))
+                numbers = batch.column("row").to_numpy()
+                for begin, _, data, offsets in blocks(batch, max_bytes=BYTES):
+                    doc, place, first, last, grams, sums = anchors(data, offsets, length, gram)
+                    keep = np.flatnonzero(marked(spots.value, _spot_keys(numbers[begin + doc], place - offsets[doc])))
+                    yield batch, begin, offsets, sums, *(x[keep] for x in (doc, place, first, last, grams))
+
+        return found
+
+    def repeated_reaches(self) -> DataFrame:
+        """``hash``: the anchors, with so many bytes before or after them, that several contested ones have."""
+        found, length, gram = self._anchors(), self.length, self.gram
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, _, _, sums, _, place, first, last, _ in found(batches):
+                hashes = [h for *_, h in reaches(sums, place, first, last, length, gram)]
+                keys, n = np.unique(np.concatenate(hashes), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["hash", "n"])
+
+        counted = self.documents.mapInArrow(rows, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+        return counted.where("n > 1").select("hash")
+
+    def windows(self, again: Broadcast) -> DataFrame:
+        """Place and hash of the windows that hold no reach which isn't marked."""
+        found, length, gram = self._anchors(), self.length, self.gram
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, begin, offsets, sums, doc, place, first, last, grams in found(batches):
+                low, high = first.copy(), last.copy()
+                for after, reach, at, hashes in reaches(sums, place, first, last, length, gram):
+                    at = at[~marked(again.value, hashes)]
+                    if after:
+                        high[at] = np.minimum(high[at], place[at] + gram + reach - length - 1)
+                    else:
+                        low[at] = np.maximum(low[at], place[at] - reach + 1)
+                n = np.maximum(high - low + 1, 0)
+                which = np.repeat(np.arange(len(n)), n)
+                start = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+                keys = mix(span_hashes(sums, start, start + length) + (place[which] - start).astype(np.uint64) * PLACE[0])
                 at = pa.array(begin + doc[which])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(at), numbers.take(at), pa.array(grams[which].view(np.int64)),
-                        pa.array(start - offsets[doc[which]]), pa.array(found.view(np.int64)),
+                        batch.column("doc_id").take(at), batch.column("row").take(at),
+                        pa.array(grams[which].view(np.int64)), pa.array(start - offsets[doc[which]]), pa.array(keys.view(np.int64)),
                     ],
                     names=["doc_id", "row", "gram", "at", "hash"],
                 )
 
-    schema = "hash long, n long" if again is None else _WINDOW
-    return documents.withColumn("key", F.xxhash64("row")).mapInArrow(rows, schema)
+        return self.documents.mapInArrow(rows, "doc_id long, row long, gram long, at long, hash long")
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -202,9 +239,9 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
         classes.join(several, "gram").select("least.row", "least.place")
     )
     work.drop(tuples, classes)
-    # most of these windows occur once and are told by their hash alone
-    counted = _windows(docs, contested, length, gram).groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1")
-    windows = work.put(_windows(docs, contested, length, gram, bit_map(counted.select("hash"), "hash")))
+    # most of these windows occur once and are told by their anchor and the bytes on one side
+    places = Contested(docs, contested, length, gram)
+    windows = work.put(places.windows(bit_map(places.repeated_reaches(), "hash")))
     begin = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
     first = windows.groupBy("gram", "hash").agg(F.min(begin).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     induced = work.put(

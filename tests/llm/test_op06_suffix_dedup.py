@@ -1,3 +1,5 @@
+import random
+
 import brute
 import numpy as np
 
@@ -30,3 +32,31 @@ def test_equal_windows_choose_the_same_anchor():
     chosen = np.repeat(place, last - first + 1)
     assert len(chosen) == len(data) - 99
     assert (chosen[300 : 300 + 301] - 300 == chosen[777 : 777 + 301] - 777).all()
+
+
+def test_anchors_hold_every_window_of_every_document_once():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        docs = [rng.integers(97, 99 + rng.integers(3), rng.integers(400)).astype(np.uint8) for _ in range(rng.integers(1, 6))]
+        offsets = np.cumsum([0, *map(len, docs)])
+        doc, place, first, last, _, _ = op.anchors(np.concatenate(docs), offsets)
+        held = [(d, s) for d, a, b in zip(doc.tolist(), first.tolist(), last.tolist()) for s in range(a, b + 1)]
+        assert held == [(d, s) for d, t in enumerate(docs) for s in range(offsets[d], offsets[d] + len(t) - 99)]
+        assert (place >= last).all() and (place <= first + op.LENGTH - op.GRAM).all()
+
+
+def test_windows_whose_anchor_has_other_bytes_around_it_are_left_out(spark, monkeypatch):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    docs = []
+    for _ in range(40):  # shared strings of 32 to 160 bytes between others
+        shared = text(rng.randint(32, 160))
+        docs += [text(rng.randint(80, 200)) + shared + text(rng.randint(80, 200)) for _ in range(3)]
+    made, real = [], op.Contested.windows
+    monkeypatch.setattr(op.Contested, "windows", lambda self, again: made.append(real(self, again)) or made[-1])
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r.doc_id: r for r in op.dedup_substrings(table).collect()}
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in map(got.get, range(len(docs)))] == brute.substring_dedup(docs)
+    seen = [t[k : k + 100] for t in docs for k in range(len(t) - 99)]
+    repeated = len(seen) - len(set(seen))
+    assert made[0].count() < 6 * repeated < len(seen)
