@@ -1,7 +1,10 @@
 """Snapshots, idempotent loads, keyed log, files and the batch run."""
 
+import codecs
+import gzip
 import hashlib
 import os
+import random
 from decimal import Decimal
 
 import pytest
@@ -123,6 +126,29 @@ def test_inventory_and_etags_match_the_file_system(spark, folder):
     assert {r["name"]: r.etag for r in files.etags(spark, folder).collect()} == want
 
 
+def test_etags_of_large_files_are_read_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "AT_ONCE", 5_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "20000")  # stands for the 2 GB of one value
+    try:
+        rng = random.Random(3)
+        noise = rng.randbytes(50_000)
+        made = {
+            "noise.parquet": noise, "feed": noise + b"\n", "feeds": noise + b"\n\n", "returns": b"a\r\nb\r" * 9_000, "b c%20d+é": noise[1:],
+            "mark": codecs.BOM_UTF8 + noise, "mark feed": codecs.BOM_UTF8 + noise + b"\n", "marks": codecs.BOM_UTF8 * 10_000, "line": b"x" * 60_000,
+            "only feeds": b"\n" * 30_000, "packed.gz": gzip.compress(noise[:10_000]), "small": b"ab", "deep/small": b"cd", "deep/noise.parquet": noise[2:],
+        }
+        (tmp_path / "deep").mkdir()
+        for name, content in made.items():
+            (tmp_path / name).write_bytes(content)
+        want = sorted((n.rpartition("/")[2], len(c), hashlib.md5(c).hexdigest()) for n, c in made.items())
+        assert sorted(map(tuple, files.etags(spark, str(tmp_path)).collect())) == want
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "4k"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_fingerprint_notices_every_change(spark):
     base = table(spark, (1, "a"), (2, "b"))
     same = table(spark, (2, "b"), (1, "a"))
