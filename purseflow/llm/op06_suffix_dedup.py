@@ -8,7 +8,7 @@ chosen sample, but nothing is sorted: windows are told apart by hashes of their
    them) is the window's anchor. Equal windows choose the same anchor at the same offset, and
    about one position in 35 is one. Each anchor carries the tuple of its suffix: the hash of its
    32 bytes, and the hash and length of its whole context, all the windows that chose it.
-2. Class. Tuples of anchors that occur again (a bit map of fixed size leaves out the others)
+2. Class. Tuples of anchors that occur again (a bit map that grows with them leaves out the others)
    are grouped by Spark: anchors with equal contexts form a class; all its members but the first
    are covered completely.
 3. Induce. A window's class follows from its anchor's: only where an anchor's 32 bytes occur
@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bitmap import bit_map, marked
+from .bitmap import bit_map, bits_for, marked
 from .registry import query, table
 from .tables import Workspace, steady
 from .text import EXACT_VALUE, PLACE, blocks, mix, prefix_sums, span_hashes, span_sums
@@ -41,6 +41,7 @@ LENGTH = 100
 GRAM = 32
 BYTES = 1 << 17  # arrays of eight times as many bytes stay in a core's cache
 STEP = 11  # bytes from one reach beyond an anchor to the next
+PASSES = 4  # windows are compared in so many parts, whose shuffles never lie on disk at the same time
 
 
 def anchors(
@@ -157,8 +158,9 @@ class Contested:
 
     def __init__(self, documents: DataFrame, contested: DataFrame, length: int, gram: int) -> None:
         self.documents = documents.withColumn("key", F.xxhash64("row"))
-        self.rows = bit_map(contested.select(F.xxhash64("row").alias("key")), "key")
-        self.spots = bit_map(contested.select("row", "place").mapInArrow(_spots, "key long"), "key")
+        bits = bits_for(contested.count())
+        self.rows = bit_map(contested.select(F.xxhash64("row").alias("key")), "key", bits)
+        self.spots = bit_map(contested.select("row", "place").mapInArrow(_spots, "key long"), "key", bits)
         self.length, self.gram = length, gram
 
     def _anchors(self) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
@@ -221,11 +223,12 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     """``row, spans`` (struct a, b in bytes, unsorted, overlapping) of ``steady`` documents with repeated bytes."""
     work = Workspace(documents, "suffix_dedup")
     docs = _numbered(documents)
-    again = (
+    again = work.put(
         docs.select("text").mapInArrow(_gram_counts(length, gram), "gram long, n long")
         .groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     )
-    tuples = work.put(_tuples(docs, bit_map(again, "gram"), length, gram))
+    tuples = work.put(_tuples(docs, bit_map(again, "gram", bits_for(again.count())), length, gram))
+    work.drop(again)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "place")
     key = ["gram", "context"]
     classes = work.put(tuples.groupBy(*key).agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n")))
@@ -241,14 +244,20 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     work.drop(tuples, classes)
     # most of these windows occur once and are told by their anchor and the bytes on one side
     places = Contested(docs, contested, length, gram)
-    windows = work.put(places.windows(bit_map(places.repeated_reaches(), "hash")))
+    reached = work.put(places.repeated_reaches())
+    windows = work.put(places.windows(bit_map(reached, "hash", bits_for(reached.count()))))
+    work.drop(reached)
     begin = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
-    first = windows.groupBy("gram", "hash").agg(F.min(begin).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    induced = work.put(
-        windows.join(first.drop("n"), ["gram", "hash"])
-        .where((F.col("row") != F.col("least.row")) | (F.col("at") != F.col("least.at")))
-        .select("row", F.col("at").alias("a"), (F.col("at") + length).alias("b"))
-    )
+    parts = []
+    for k in range(PASSES):
+        part = windows.where(F.pmod("hash", F.lit(PASSES)) == k)
+        first = part.groupBy("gram", "hash").agg(F.min(begin).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        parts.append(work.put(
+            part.join(first.drop("n"), ["gram", "hash"])
+            .where((F.col("row") != F.col("least.row")) | (F.col("at") != F.col("least.at")))
+            .select("row", F.col("at").alias("a"), (F.col("at") + length).alias("b"))
+        ))
+    induced = work.together(*parts)
     work.drop(contested, windows)
     return copies.union(induced).groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 

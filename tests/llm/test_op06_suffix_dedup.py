@@ -3,6 +3,7 @@ import random
 import brute
 import numpy as np
 
+from purseflow.llm import bitmap
 from purseflow.llm import op06_suffix_dedup as op
 
 
@@ -60,3 +61,23 @@ def test_windows_whose_anchor_has_other_bytes_around_it_are_left_out(spark, monk
     seen = [t[k : k + 100] for t in docs for k in range(len(t) - 99)]
     repeated = len(seen) - len(set(seen))
     assert made[0].count() < 6 * repeated < len(seen)
+
+
+def test_maps_do_not_fill_as_tables_grow(spark, monkeypatch):
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    again = [text(150) for _ in range(60)]  # with as many anchors, about 250, as a small map has bits
+    docs = [text(600) + (again[k % 60] if k < 120 else "") + text(600) for k in range(300)]
+    monkeypatch.setattr(bitmap, "BITS", 8)
+    monkeypatch.setattr(bitmap.bit_map, "__defaults__", (8,))
+    made, real = [], op._tuples
+    monkeypatch.setattr(op, "_tuples", lambda *given: made.append(real(*given)) or made[-1])
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r.doc_id: r for r in op.dedup_substrings(table).collect()}
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in map(got.get, range(len(docs)))] == brute.substring_dedup(docs)
+    some = made[0].groupBy("gram").count()
+    assert some.where("count > 1").count() < made[0].count() < 3 * some.where("count > 1").groupBy().sum("count").first()[0]
+
+
+def test_size_of_maps():
+    assert [bitmap.bits_for(n) for n in (0, 1, 1 << 23, (1 << 23) + 1, 1 << 26, 1 << 40)] == [26, 26, 26, 27, 29, 30]
